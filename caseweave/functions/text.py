@@ -118,7 +118,7 @@ def safe_ratio(part: Column, whole: Column) -> Column:
 
 
 def as_percent(ratio: Column) -> Column:
-    return F.format_string("%.2f%%", ratio * 100)
+    return F.format_string("%.2f%%", F.bround(ratio * 100, 2))
 
 
 def shorten(text: Column, limit: int = 600) -> Column:

@@ -30,7 +30,7 @@ def fit_kmeans(features: DataFrame, k: int, seed: int = 42, restarts: int = 10,
 def silhouette(sample: DataFrame) -> DataFrame:
     """(k, silhouette_score) of (k, id, indices, weights, cluster): exact Euclidean, one bounded group per k."""
 
-    def score(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def score(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         value = blocks.silhouette_of_block(rows["indices"], rows["weights"], rows["cluster"].to_numpy())
         return pd.DataFrame({"k": [key[0]], "silhouette_score": [value]})
 

@@ -182,7 +182,7 @@ def _(spark, folder):
 
 
 @register("m12_rules", f"""WITH {_CUSTOMER_TEXTS}, named AS (SELECT id, {sql.rule_case('text', RULES)} AS intent FROM texts)
-SELECT id, coalesce(intent, 'OTHER') AS intent, CASE WHEN intent IS NULL THEN 0.0 ELSE 0.99 END AS confidence,
+SELECT id, coalesce(intent, 'OTHER') AS intent, CAST(CASE WHEN intent IS NULL THEN 0.0 ELSE 0.99 END AS DOUBLE) AS confidence,
        CASE WHEN intent IS NULL THEN 'default' ELSE 'rule' END AS source FROM named""")
 def _(spark, folder):
     return classify.classify(_customer_texts(spark, folder), None, RULES)
@@ -207,7 +207,7 @@ case_texts AS (SELECT support_tweet_id AS id, customer_text AS text FROM cases),
 {_CUSTOMER_TEXTS},
 queries AS (SELECT id, {sql.normalize('text')} AS text,
   coalesce({sql.rule_case(sql.normalize('text'), RULES)}, 'OTHER') AS intent,
-  CASE WHEN {sql.rule_case(sql.normalize('text'), RULES)} IS NULL THEN 0.0 ELSE 0.99 END AS confidence,
+  CAST(CASE WHEN {sql.rule_case(sql.normalize('text'), RULES)} IS NULL THEN 0.0 ELSE 0.99 END AS DOUBLE) AS confidence,
   CASE WHEN {sql.rule_case(sql.normalize('text'), RULES)} IS NULL THEN 'default' ELSE 'rule' END AS source FROM texts),
 {sql.grams('cg', 'case_texts')}, {sql.vocabulary('cg', 'case_texts')}, {sql.weights('cw', 'cg')},
 {sql.grams('qg', 'queries')}, {sql.weights('qw', 'qg')}, {sql.cosine('pairs', 'qw', 'cw')},
@@ -616,12 +616,17 @@ def _(spark, folder):
 # --- streams ----------------------------------------------------------------------------------------------------
 
 
+def _stream(spark, folder, name):
+    """The files of one table as a file stream."""
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
 @register("t1_stream_triage", _TRIAGED + _TRIAGE_SELECT)
 def _(spark, folder):
     cases = _cases(spark, folder)
     model = _case_model(cases)
-    source = f"{folder}/conversations.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source).where("role = 'user'")
+    stream = _stream(spark, folder, "conversations").where("role = 'user'")
     arriving = stream.select(_turn_ids().alias("query_id"), tx.normalize(F.col("text")).alias("query"))
 
     def triage_batch(batch):
@@ -636,8 +641,8 @@ def _(spark, folder):
 round(sum(value), 4) AS total_value, round(count(*) FILTER (event_type = 'error') / count(*), 6) AS error_rate
 FROM (SELECT DISTINCT ON (event_id) * FROM events) WHERE user_id IS NOT NULL GROUP BY user_id""")
 def _(spark, folder):
-    source = f"{folder}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    # The table's times carry no zone; a watermark needs an instant.
+    stream = _stream(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     target = scratch_path(spark, "audit")
     activity = jobs.author_activity(stream)
     jobs.start_audit(activity, target, scratch_path(spark, "audit-log"), True).awaitTermination()

@@ -11,11 +11,19 @@ from caseweave.functions import lexicon, text as tx
 RuleTable = Sequence[tuple[str, bool, Sequence[str]]]
 
 
+def any_pattern(patterns: Sequence[str]) -> str:
+    """One Unicode-aware pattern for all; a word edge that opens every pattern is tested once per position."""
+    edge = r"\b"
+    if all(p.startswith(edge) for p in patterns):
+        return "(?U)" + edge + "(?:" + "|".join(p.removeprefix(edge) for p in patterns) + ")"
+    return "(?U)" + "|".join(patterns)
+
+
 def rule_intent(text: Column, rules: RuleTable = lexicon.INTENT_RULES) -> Column:
     """The first enabled intent one of whose patterns occurs in the text, else null."""
     lowered = F.lower(F.coalesce(text, F.lit("")))
     hits = [
-        F.when(lowered.rlike("(?U)" + "|".join(patterns)), F.lit(intent))
+        F.when(lowered.rlike(any_pattern(patterns)), F.lit(intent))
         for intent, enabled, patterns in rules
         if enabled
     ]

@@ -27,10 +27,11 @@ def prepare_cases(
     text: str = "customer_text",
 ) -> DataFrame:
     """Cases as (case_id, indices, weights, compatibility): unit vector and one keyword score per intent."""
-    vectors = tfidf.transform(tfidf.document_text(cases, id_column, text), model)
     scores = F.array(*[keyword_compatibility(F.col(text), intent, keywords) for intent in keywords])
-    fits = cases.select(F.col(id_column).alias("id"), scores.cast("array<double>").alias("compatibility"))
-    return vectors.join(fits, "id").withColumnRenamed("id", "case_id")
+    scored = cases.select(
+        F.col(id_column).alias("id"), F.col(text).alias("text"), scores.cast("array<double>").alias("compatibility")
+    )
+    return tfidf.transform(scored, model, ["compatibility"]).withColumnRenamed("id", "case_id")
 
 
 def retrieve(
@@ -47,12 +48,12 @@ def retrieve(
     ``queries`` is (query_id, query, intent); a null intent counts no keywords. Ties go to the smaller case id.
     """
     intents = list(keywords)
-    vectors = tfidf.transform(tfidf.document_text(queries, "query_id", "query"), model)
     indexed = queries.select(
-        F.col("query_id").alias("id"), _intent_index(F.col("intent"), intents).alias("intent_index")
+        F.col("query_id").alias("id"), F.col("query").alias("text"),
+        _intent_index(F.col("intent"), intents).alias("intent_index"),
     )
     return top_k(
-        vectors.join(indexed, "id").withColumnRenamed("id", "query_id"),
+        tfidf.transform(indexed, model, ["intent_index"]).withColumnRenamed("id", "query_id"),
         prepare_cases(cases, model, keywords, id_column, text),
         k,
         lexicon.SIMILARITY_WEIGHT,

@@ -62,42 +62,43 @@ class TfidfModel:
         )
 
 
-def term_counts(docs: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
+def term_counts(docs: DataFrame, stop_words: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
     """(id, text) to (id, terms, counts): the distinct 1- and 2-grams of each text, sorted, with their counts.
 
-    Stop words go before the pairs are built, so a pair may span a removed word.
+    Stop words go before the pairs are built, so a pair may span a removed word. Columns in ``carry`` stay.
     """
     kept = tx.words(F.col("text"))
     if stop_words:
         kept = F.filter(kept, lambda w: ~w.isin(*stop_words))
-    worded = docs.select("id", kept.alias("_w"))
+    worded = docs.select("id", *carry, kept.alias("_w"))
     n = F.size("_w")
     pairs = F.zip_with(
         F.slice("_w", F.lit(1), F.greatest(n - 1, F.lit(0))),
         F.slice("_w", F.lit(2), F.greatest(n - 1, F.lit(0))),
         lambda a, b: F.concat(a, F.lit(" "), b),
     )
-    grams = worded.select("id", F.sort_array(F.concat(F.col("_w"), pairs)).alias("_g"))
+    grams = worded.select("id", *carry, F.sort_array(F.concat(F.col("_w"), pairs)).alias("_g"))
     gram = F.col("_g")
     # 0-based places where a new term starts in the sorted array.
     firsts = F.filter(
         F.transform(gram, lambda _, i: i), lambda i: (i == 0) | (F.get(gram, i) != F.get(gram, i - 1))
     )
-    marked = grams.select("id", "_g", firsts.alias("_at"))
+    marked = grams.select("id", *carry, "_g", firsts.alias("_at"))
     at = F.col("_at")
     nexts = F.concat(F.slice(at, F.lit(2), F.greatest(F.size(at), F.lit(0))), F.array(F.size("_g")))
     return marked.select(
         "id",
+        *carry,
         F.transform(at, lambda i: F.get(gram, i)).alias("terms"),
         F.transform(F.arrays_zip(at.alias("a"), nexts.alias("b")), lambda s: s["b"] - s["a"]).alias("counts"),
     )
 
 
-def _exploded(counted: DataFrame, outer: bool = False) -> DataFrame:
+def _exploded(counted: DataFrame, outer: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     pairs = F.arrays_zip("terms", "counts")
     entry = F.explode_outer(pairs) if outer else F.explode(pairs)
-    return counted.select("id", entry.alias("_e")).select(
-        "id", F.col("_e.terms").alias("term"), F.col("_e.counts").alias("tf")
+    return counted.select("id", *carry, entry.alias("_e")).select(
+        "id", *carry, F.col("_e.terms").alias("term"), F.col("_e.counts").alias("tf")
     )
 
 
@@ -121,23 +122,27 @@ def fit(docs: DataFrame, params: TfidfParams = TfidfParams()) -> TfidfModel:
     return TfidfModel(vocabulary, params, documents, size)
 
 
-def raw_weights(docs: DataFrame, model: TfidfModel) -> DataFrame:
+def raw_weights(docs: DataFrame, model: TfidfModel, carry: Sequence[str] = ()) -> DataFrame:
     """(id, index, weight): sublinear tf times idf before the norm; terms outside the vocabulary are null rows."""
-    counted = _exploded(term_counts(docs, model.params.stop_words), outer=True)
+    counted = _exploded(term_counts(docs, model.params.stop_words, carry), True, carry)
     known = counted.join(model.lookup(), "term", "left")
-    return known.select("id", "index", ((F.lit(1.0) + F.log("tf")) * F.col("idf")).alias("weight"))
+    return known.select("id", *carry, "index", ((F.lit(1.0) + F.log("tf")) * F.col("idf")).alias("weight"))
 
 
-def transform(docs: DataFrame, model: TfidfModel) -> DataFrame:
-    """(id, text) to unit vectors (id, indices, weights), sorted by index; a text without known terms is empty."""
+def transform(docs: DataFrame, model: TfidfModel, carry: Sequence[str] = ()) -> DataFrame:
+    """(id, text) to unit vectors (id, indices, weights), sorted by index; a text without known terms is empty.
+
+    Columns in ``carry`` depend on the id and stay, which spares a join back to the input.
+    """
     entry = F.when(F.col("index").isNotNull(), F.struct("index", "weight"))
     # The norm is an aggregate of its own: inside the lambda below it would be computed once per entry.
-    packed = raw_weights(docs, model).groupBy("id").agg(
+    packed = raw_weights(docs, model, carry).groupBy("id", *carry).agg(
         F.array_sort(F.collect_list(entry)).alias("_v"),
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"),
     )
     return packed.select(
         "id",
+        *carry,
         F.transform("_v", lambda e: e["index"]).alias("indices"),
         F.transform("_v", lambda e: e["weight"] / F.col("_norm")).alias("weights"),
     )

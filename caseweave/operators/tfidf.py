@@ -85,12 +85,11 @@ def term_counts(docs: DataFrame, stop_words: Sequence[str] = (), carry: Sequence
     )
     marked = grams.select("id", *carry, "_g", firsts.alias("_at"))
     at = F.col("_at")
-    nexts = F.concat(F.slice(at, F.lit(2), F.greatest(F.size(at), F.lit(0))), F.array(F.size("_g")))
     return marked.select(
         "id",
         *carry,
         F.transform(at, lambda i: F.get(gram, i)).alias("terms"),
-        F.transform(F.arrays_zip(at.alias("a"), nexts.alias("b")), lambda s: s["b"] - s["a"]).alias("counts"),
+        F.transform(at, lambda place, i: F.coalesce(F.get(at, i + 1), F.size("_g")) - place).alias("counts"),
     )
 
 

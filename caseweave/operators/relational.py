@@ -34,7 +34,10 @@ def dense_row_id(df: DataFrame, order: Sequence[str], name: str, partitions: int
     Rows are range-partitioned and written once, so that the partition sizes and the row numbers come from
     the same layout; only one size per partition travels on.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    session = df.sparkSession
+    n = partitions or max(
+        session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
+    )
     ranged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -151,12 +151,12 @@ def score_prompts(prompts: DataFrame, scorer: Callable[[str], str]) -> DataFrame
 
 def parse_scores(scored: DataFrame) -> DataFrame:
     """Raw replies to scores; a row that failed has null scores and its error as the reason."""
-    judged = scored.withColumn("_j", judging.parse_judgment(F.col("raw")))
-    error = F.col("scorer_error") if "scorer_error" in scored.columns else F.lit(None).cast("string")
-    reason = F.when(error.isNotNull(), F.concat(F.lit("Judge error: "), error)).otherwise(F.col("_j.reason"))
+    if "scorer_error" not in scored.columns:
+        scored = scored.withColumn("scorer_error", F.lit(None).cast("string"))
+    judged = judging.parse_judgments(scored, "raw")
+    failure = F.concat(F.lit("Judge error: "), "scorer_error")
     return judged.select(
-        "example_id", "query", "response", *[F.col(f"_j.{d}").alias(d) for d in judging.DIMENSIONS],
-        reason.alias("reason"),
+        "example_id", "query", "response", *judging.DIMENSIONS, F.coalesce(failure, F.col("reason")).alias("reason")
     )
 
 

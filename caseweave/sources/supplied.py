@@ -17,11 +17,12 @@ def table(spark: SparkSession, folder: str, name: str, spread_by: str | None = N
     return spread(df, spread_by) if spread_by else df
 
 
-def messages(spark: SparkSession, folder: str) -> DataFrame:
+def messages(spark: SparkSession, folder: str, children: bool = False) -> DataFrame:
     """``conversations`` as a MESSAGE table: users write to one of six brands, each turn answers the one before.
 
-    The next turn is looked up by its id, so a long conversation needs no window over all its turns. Creation
-    times are derived from the id: an hour per conversation, a minute per turn.
+    Creation times are derived from the id: an hour per conversation, a minute per turn. ``children`` adds
+    ``response_tweet_id``; the next turn is looked up by its id, so a long conversation needs no window over all
+    its turns, but the join costs a shuffle that the other queries can do without.
     """
     turns = table(spark, folder, "conversations")
     tweet_id = F.col("conv_id") * TURN_SPACE + F.col("turn")
@@ -39,6 +40,8 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
         "text",
         F.when(F.col("turn") > 0, tweet_id - 1).alias("in_response_to_tweet_id"),
     )
+    if not children:
+        return base
     followers = turns.where("turn > 0").select((tweet_id - 1).alias("tweet_id"), tweet_id.alias("_next"))
     return base.join(followers, "tweet_id", "left").select(
         "tweet_id", "author_id", "inbound", "created_at", "text",

@@ -10,6 +10,7 @@ from caseweave.operators.relational import (
     drop_blank, frequent_classes, support_of, top_rows, value_counts,
 )
 from caseweave.operators.threads import brand_slice
+from caseweave.session import cut_lineage
 from caseweave.sources.supplied import messages, table
 from catalog import dialect as sql
 from catalog.tables import KEYWORDS
@@ -53,7 +54,7 @@ _COLUMNS = ["tweet_id", "author_id", "inbound", "created_at", "text", "response_
     for c in _COLUMNS
 ))
 def _(spark, folder):
-    return _rounded(audit.missing_values(messages(spark, folder)), "missing_percentage")
+    return _rounded(audit.missing_values(messages(spark, folder, children=True)), "missing_percentage")
 
 
 @register("a4_text_frequency", "SELECT coalesce(text, '') AS text, count(*) AS n FROM documents GROUP BY 1")
@@ -72,12 +73,12 @@ authors AS (
 
 @register("a5_author_stats", _AUTHORS + " SELECT * FROM authors")
 def _(spark, folder):
-    return _rounded(audit.author_statistics(messages(spark, folder)), "response_rate")
+    return _rounded(audit.author_statistics(messages(spark, folder, children=True)), "response_rate")
 
 
 @register("o2_top_authors", _AUTHORS + " SELECT * FROM authors ORDER BY tweets DESC, author_id LIMIT 30")
 def _(spark, folder):
-    stats = _rounded(audit.author_statistics(messages(spark, folder)), "response_rate")
+    stats = _rounded(audit.author_statistics(messages(spark, folder, children=True)), "response_rate")
     return top_rows(stats, [F.desc("tweets"), "author_id"], 30)
 
 
@@ -120,7 +121,8 @@ SELECT metric, CAST(value AS BIGINT) AS value FROM (
     WHERE in_response_to_tweet_id NOT IN (SELECT tweet_id FROM slice)
 )""")
 def _(spark, folder):
-    return audit.quality_metrics(brand_slice(messages(spark, folder), "brand0"))
+    # The metrics read the slice several times, so it is written once.
+    return audit.quality_metrics(cut_lineage(brand_slice(messages(spark, folder), "brand0")))
 
 
 @register("a9_reply_stats", f"""WITH {sql.MESSAGES}
@@ -300,8 +302,8 @@ _REPLY = """CASE WHEN doc_id % 7 = 0 THEN 'no verdict for ' || lang
  WHEN doc_id % 3 = 0 THEN lang ELSE source END AS reason FROM documents""")
 def _(spark, folder):
     raw = F.expr(_REPLY.format(body=_BODY.format(*["STRING"] * len(_SCORE))))
-    judged = table(spark, folder, "documents").select("doc_id", judging.parse_judgment(raw).alias("j"))
-    return judged.select("doc_id", *[f"j.{d}" for d in judging.DIMENSIONS], "j.reason")
+    replies = table(spark, folder, "documents").select("doc_id", raw.alias("raw"))
+    return judging.parse_judgments(replies, "raw").select("doc_id", *judging.DIMENSIONS, "reason")
 
 
 @register("f18_report_formats", f"""SELECT source, left(max(text), 600) AS excerpt,

@@ -538,7 +538,17 @@ def _stub_scorer(prompt):
     )
 
 
-@register("e12_judge_scores")
+def _stub_score(modulus):
+    return f"CAST(CASE WHEN n % 11 <> 0 AND n % 7 <> 0 THEN n % {modulus} + 1 END AS INTEGER)"
+
+
+@register("e12_judge_scores", SQL["e12_judge_prompts"].replace("WITH", "WITH prompts AS (WITH", 1) + f"""),
+sized AS (SELECT *, length(prompt) AS n FROM prompts)
+SELECT example_id, query, response, {_stub_score(5)} AS groundedness, {_stub_score(4)} AS relevance,
+  {_stub_score(3)} AS actionability, {_stub_score(2)} AS tone, {_stub_score(5)} AS overall,
+  CASE WHEN n % 11 = 0 THEN 'Judge error: judge is not available'
+    WHEN n % 7 = 0 THEN 'Judge error: No JSON object found: no verdict' ELSE 'length ' || n END AS reason
+FROM sized""")
 def _(spark, folder):
     records = cut_lineage(_retrieval_records(spark, folder, 3))
     agent = evaluation.golden_queries(_golden_set(spark, folder)).select(
@@ -556,7 +566,7 @@ def _(spark, folder):
     raw = F.when(F.col("doc_id") % 7 == 0, "none").otherwise(F.format_string(
         '{"overall": %d, "tone": %d}', F.col("doc_id") % 5 + 1, F.col("doc_id") % 4 + 1
     ))
-    judged = table(spark, folder, "documents").select(judging.parse_judgment(raw).alias("j")).select("j.*")
+    judged = judging.parse_judgments(table(spark, folder, "documents").select(raw.alias("raw")), "raw")
     return _rounded(metrics.score_means(judged, ["overall", "tone"]), "mean_overall", "mean_tone")
 
 
@@ -584,6 +594,9 @@ def _(spark, folder):
     return classify.cross_validate(_labelled_documents(spark, folder), folds=2, max_iter=50)
 
 
+CLUSTERS = 11
+
+
 def _discovery(spark, folder):
     docs = table(spark, folder, "documents").where("lang = 'en'").select("doc_id", "text")
     sample = sampling.sample_rows(unique_texts(drop_blank(docs, "text"), "text", "doc_id"), "doc_id", 500)
@@ -596,20 +609,20 @@ def _discovery(spark, folder):
 @register("m6_cluster_quality")
 def _(spark, folder):
     _, model, vectors = _discovery(spark, folder)
-    return clusters.discover(vectors, model.size, range(6, 9), restarts=3).scores
+    return clusters.discover(vectors, model.size).scores
 
 
 @register("m8_cluster_terms")
 def _(spark, folder):
     _, model, vectors = _discovery(spark, folder)
-    found = clusters.discover(vectors, model.size, (6,), restarts=2)
+    found = clusters.discover(vectors, model.size, (CLUSTERS,))
     return clusters.cluster_terms(vectors, model, found.assigned)
 
 
 @register("m9_representatives")
 def _(spark, folder):
     texts, model, vectors = _discovery(spark, folder)
-    found = clusters.discover(vectors, model.size, (6,), restarts=2)
+    found = clusters.discover(vectors, model.size, (CLUSTERS,))
     return clusters.representatives(texts.join(found.assigned, "id"), "id").select("cluster", "id", "text")
 
 

@@ -69,7 +69,7 @@ firsts AS (
 
 
 def _first_support(spark, folder):
-    replies = support_of(messages(spark, folder), BRANDS)
+    replies = support_of(messages(spark, folder, children=True), BRANDS)
     return sampling.first_n_per_group(replies, ["author_id"], ["tweet_id"], FIRST_PER_BRAND)
 
 
@@ -142,7 +142,7 @@ discovery AS (
 
 def _clean(spark, folder):
     # The supplied turns hold no entities, so the JVM-side decoder is enough here.
-    return preparation.clean_messages(messages(spark, folder), full_entities=False)[0]
+    return preparation.clean_messages(messages(spark, folder, children=True), full_entities=False)[0]
 
 
 @register("e16_clean_messages", f"""WITH {sql.MESSAGES}, {_CLEAN}
@@ -188,7 +188,7 @@ ids AS (
 SELECT tweet_id, author_id, inbound, text FROM messages WHERE tweet_id IN (SELECT tweet_id FROM ids)""")
 def _(spark, folder):
     targets = _picked(spark, folder).select(F.col("support_tweet_id").alias("tweet_id"))
-    return threads.neighbours(messages(spark, folder), targets).select("tweet_id", "author_id", "inbound", "text")
+    return threads.neighbours(messages(spark, folder, children=True), targets).select("tweet_id", "author_id", "inbound", "text")
 
 
 _CHAINS = f"""WITH RECURSIVE {sql.MESSAGES.strip()}, {_PICKED},
@@ -243,7 +243,7 @@ SELECT t.tweet_id, m.clean_text, coalesce(string_agg(line, chr(10) ORDER BY l.tw
 FROM targets t JOIN clean m USING (tweet_id) LEFT JOIN lines l ON l.target = t.tweet_id
 GROUP BY t.tweet_id, m.clean_text""")
 def _(spark, folder):
-    clean = preparation.with_clean_text(messages(spark, folder), full_entities=False)
+    clean = preparation.with_clean_text(messages(spark, folder, children=True), full_entities=False)
     targets = customers_of(clean).select("tweet_id", "clean_text")
     windows = threads.context_windows(clean, targets, 10, support_label="BRAND")
     return place_after(targets.join(windows, "tweet_id"), "conversation_context", "clean_text")
@@ -253,7 +253,7 @@ def _(spark, folder):
 SELECT tweet_id, CASE WHEN inbound THEN 'CUSTOMER' WHEN NOT inbound THEN 'SUPPORT' END AS speaker,
        CAST(response_tweet_id AS BIGINT) AS first_child FROM messages""")
 def _(spark, folder):
-    return messages(spark, folder).select(
+    return messages(spark, folder, children=True).select(
         "tweet_id", tx.speaker_of(F.col("inbound"), "CUSTOMER", "SUPPORT").alias("speaker"),
         F.try_element_at(tx.split_ids(F.col("response_tweet_id")), F.lit(1)).alias("first_child"),
     )

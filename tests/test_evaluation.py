@@ -46,7 +46,7 @@ def test_prompt_holds_message_reply_and_evidence(spark):
 
 def _parse(spark, *raw):
     df = spark.createDataFrame([(i, r) for i, r in enumerate(raw)], "i int, raw string")
-    return [r["j"] for r in df.select("i", judging.parse_judgment(F.col("raw")).alias("j")).orderBy("i").collect()]
+    return judging.parse_judgments(df, "raw").orderBy("i").collect()
 
 
 def test_judgments(spark):

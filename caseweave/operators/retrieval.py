@@ -88,14 +88,26 @@ def best_case(ranked: DataFrame) -> DataFrame:
     return ranked.where("rank = 1").drop("rank")
 
 
+CASE_FIELDS = (
+    "rank", "case_id", "customer_case", "support_response", "similarity", "intent_compatibility", "combined_score",
+)
+
+
 def cases_per_query(ranked: DataFrame, key: str = "query_id") -> DataFrame:
-    """(key, cases): the retrieved cases of a query as one array in rank order; at most k entries per query id."""
-    entry = F.struct(
-        "rank", "case_id", "customer_case", "support_response", "similarity", "intent_compatibility", "combined_score"
-    )
+    """(key, cases): the retrieved cases of a query as one array in rank order; at most k entries per query id.
+
+    The texts are part of an entry if they were looked up before.
+    """
+    entry = F.struct(*[c for c in CASE_FIELDS if c in ranked.columns])
     return ranked.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("cases"))
 
 
+def cited_cases(ranked: DataFrame, cases: DataFrame, id_column: str = "support_tweet_id") -> DataFrame:
+    """Each retrieved case once with its texts and the number of queries that cite it."""
+    counts = ranked.groupBy("case_id").agg(F.count(F.lit(1)).alias("queries"))
+    return with_case_texts(counts, cases, id_column)
+
+
 def queries_of_first_ids(ranked: DataFrame, n: int = 5) -> DataFrame:
     """The retrieved rows of the first ``n`` query ids, for inspection."""
     first = ranked.select("query_id").distinct().orderBy("query_id").limit(n)

@@ -169,7 +169,7 @@ def to_ml_vectors(vectors: DataFrame, size: int) -> DataFrame:
     def sparse(indices, weights):
         return Vectors.sparse(size, indices, weights)
 
-    build = F.udf(sparse, VectorUDT())
+    build = F.udf(sparse, VectorUDT(), useArrow=True)
     return vectors.withColumn("features", build("indices", "weights"))
 
 

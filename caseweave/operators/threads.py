@@ -50,8 +50,14 @@ def follow(pointers: DataFrame, starts: DataFrame, max_hops: int | None = None)
 
     ``pointers`` is (node, next), ``starts`` is (start). Each round doubles the reach: ``reach`` covers the hops
     below ``span`` and ``jumps`` leads ``span`` hops ahead, so a chain of depth d takes log2(d) rounds. On a cycle
-    the smallest hop count of a node is kept and the walk ends when a round finds nothing new.
+    a node is met again and again; its smallest hop count is kept, and an unbounded walk ends when a round finds
+    nothing new. A bounded walk takes a fixed number of rounds and drops repeats once at the end.
     """
+    bounded = max_hops is not None
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        return pairs.groupBy("start", "node").agg(F.min("hops").alias("hops"))
+
     jumps = (
         pointers.where("node IS NOT NULL AND next IS NOT NULL")
         .groupBy("node")
@@ -59,22 +65,24 @@ def follow(pointers: DataFrame, starts: DataFrame, max_hops: int | None = None)
     )
     reach = starts.select("start", F.col("start").alias("node"), F.lit(0).cast("bigint").alias("hops")).distinct()
     reach = cut_lineage(reach)
-    size, span = reach.count(), 1
-    while max_hops is None or span <= max_hops:
+    size, span = (0 if bounded else reach.count()), 1
+    while not bounded or span <= max_hops:
         jumps = cut_lineage(jumps)
         ahead = reach.join(jumps, "node").select(
             "start", F.col("next").alias("node"), (F.col("hops") + span).alias("hops")
         )
-        if max_hops is not None:
-            ahead = ahead.where(F.col("hops") <= max_hops)
-        reach = cut_lineage(reach.unionByName(ahead).groupBy("start", "node").agg(F.min("hops").alias("hops")))
-        grown = reach.count()
-        if grown == size:
-            break
-        size, span = grown, span * 2
+        if bounded:
+            reach = cut_lineage(reach.unionByName(ahead.where(F.col("hops") <= max_hops)))
+        else:
+            reach = cut_lineage(nearest(reach.unionByName(ahead)))
+            grown = reach.count()
+            if grown == size:
+                break
+            size = grown
+        span *= 2
         onward = jumps.select(F.col("node").alias("next"), F.col("next").alias("after"))
         jumps = jumps.join(onward, "next").select("node", F.col("after").alias("next"))
-    return reach
+    return nearest(reach) if bounded else reach
 
 
 def parent_pointers(messages: DataFrame) -> DataFrame:

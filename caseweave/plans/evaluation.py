@@ -34,7 +34,7 @@ def golden_queries(golden: DataFrame) -> DataFrame:
 def evaluate_agent(golden: DataFrame, cases: DataFrame, text_model: tfidf.TfidfModel, **options) -> DataFrame:
     """Triage of every golden row next to its gold labels."""
     queries = golden_queries(golden)
-    results = triage(queries, cases, text_model, **options).drop("query", "retrieved_cases")
+    results = triage(queries, cases, text_model, case_texts=False, **options).drop("query", "retrieved_cases")
     return queries.join(results, "query_id").select(
         F.col("query_id").alias("example_id"), "query", "gold_intent", F.col("intent").alias("predicted_intent"),
         "classifier_confidence", "retrieval_similarity", "gold_resolution", "gold_escalation",

@@ -17,10 +17,14 @@ RESULT_COLUMNS = (
 )
 
 
-def decide(classified: DataFrame, per_query: DataFrame) -> DataFrame:
-    """Route and answer (query_id, query, intent, confidence, source) given the cases of each query."""
-    best = F.get("cases", F.lit(0))
-    joined = classified.join(per_query, "query_id", "left").withColumn("_best", best)
+def decide(classified: DataFrame, ranked: DataFrame, cases: DataFrame, case_texts: bool = True) -> DataFrame:
+    """Route and answer (query_id, query, intent, confidence, source) given the ranked cases of each query.
+
+    Only the best case's reply travels to its query; ``case_texts`` adds the texts of all retrieved cases to
+    ``retrieved_cases``, which otherwise holds their ids and scores.
+    """
+    listed = cases_per_query(with_case_texts(ranked, cases) if case_texts else ranked)
+    joined = classified.join(listed, "query_id", "left").withColumn("_best", F.get("cases", F.lit(0)))
     zero = F.lit(0.0)
     scored = joined.select(
         "*",
@@ -31,8 +35,13 @@ def decide(classified: DataFrame, per_query: DataFrame) -> DataFrame:
     routed = scored.withColumn("_route", route(
         F.col("intent"), F.col("retrieval_similarity"), F.col("intent_compatibility"), F.col("combined_score")
     ))
-    answered = routed.withColumn("_reply", action_reply(
-        F.col("_route.action"), F.col("_best.similarity"), F.col("_best.support_response")
+    # A fixed reply needs no case, so only answered messages look one up. They come back by their own id: a join
+    # on the case would put all messages without a lookup under one null key.
+    texts = cases.select(F.col("support_tweet_id").alias("_case"), F.col("support_text").alias("_support"))
+    lookups = routed.where(F.col("_route.action") == "ANSWER").select("query_id", F.col("_best.case_id").alias("_case"))
+    sourced = routed.join(lookups.join(texts, "_case").drop("_case"), "query_id", "left")
+    answered = sourced.withColumn("_reply", action_reply(
+        F.col("_route.action"), F.col("_best.similarity"), F.col("_support")
     ))
     return answered.select(
         "query_id", "query", "intent",
@@ -42,7 +51,7 @@ def decide(classified: DataFrame, per_query: DataFrame) -> DataFrame:
         F.col("_route.action").alias("action"),
         F.col("_route.reason").alias("decision_reason"),
         "_reply.response", "_reply.grounded", "_reply.needs_escalation",
-        F.coalesce("cases", F.array().cast(per_query.schema["cases"].dataType)).alias("retrieved_cases"),
+        F.coalesce("cases", F.array().cast(listed.schema["cases"].dataType)).alias("retrieved_cases"),
     )
 
 
@@ -54,13 +63,14 @@ def triage(
     top_k: int = 3,
     rules: RuleTable = lexicon.INTENT_RULES,
     keywords: Keywords = lexicon.INTENT_KEYWORDS,
+    case_texts: bool = True,
 ) -> DataFrame:
     """(query_id, query) to one result row each: intent, evidence scores, action, reason, reply and cases."""
     named = messages.select(F.col("query_id").alias("id"), F.col("query").alias("text"))
-    classes = classify(named, intent_model, rules).withColumnRenamed("id", "query_id")
-    classified = cut_lineage(messages.select("query_id", "query").join(classes, "query_id"))
-    ranked = retrieve(classified, cases, text_model, top_k, keywords)
-    return decide(classified, cases_per_query(with_case_texts(ranked, cases)))
+    classes = classify(named, intent_model, rules, with_text=True)
+    classified = cut_lineage(classes.withColumnsRenamed({"id": "query_id", "text": "query"}))
+    ranked = cut_lineage(retrieve(classified, cases, text_model, top_k, keywords))
+    return decide(classified, ranked, cases, case_texts)
 
 
 def service_response(results: DataFrame) -> DataFrame:

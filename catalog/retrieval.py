@@ -243,9 +243,9 @@ def _classified(spark, folder):
 
 
 def _retrieved(spark, folder, k):
+    """(ranked cases of all customer turns, the case table)"""
     cases = _cases(spark, folder)
-    ranked = retrieval.retrieve(_classified(spark, folder), cases, _case_model(cases), k, KEYWORDS)
-    return retrieval.with_case_texts(ranked, cases)
+    return retrieval.retrieve(_classified(spark, folder), cases, _case_model(cases), k, KEYWORDS), cases
 
 
 _SCORES = ("similarity", "intent_compatibility", "combined_score")
@@ -254,27 +254,40 @@ round(combined, 6) AS combined_score"""
 
 
 @register("e3_retrieve", f"""{_retrieval_sql(3)}
-SELECT query_id, rank, case_id, customer_case, support_response, {_SCORE_SQL} FROM ranked""")
+SELECT query_id, rank, case_id, {_SCORE_SQL} FROM ranked""")
 def retrieve(spark, folder):
-    found = _retrieved(spark, folder, 3)
-    return _rounded(found.withColumn("rank", F.col("rank").cast("bigint")), *_SCORES).select(
-        "query_id", "rank", "case_id", "customer_case", "support_response", *_SCORES
-    )
+    ranked, _ = _retrieved(spark, folder, 3)
+    return _rounded(ranked.withColumn("rank", F.col("rank").cast("bigint")), *_SCORES)
+
+
+@register("j13_cited_cases", f"""{_retrieval_sql(3)}
+SELECT case_id, count(*) AS queries, any_value(customer_case) AS customer_case,
+       any_value(support_response) AS support_response FROM ranked GROUP BY case_id""")
+def _(spark, folder):
+    return retrieval.cited_cases(*_retrieved(spark, folder, 3))
 
 
 @register("w7_best_case", f"""{_retrieval_sql(3)}
 SELECT query_id, case_id, {_SCORE_SQL} FROM ranked WHERE rank = 1""")
 def _(spark, folder):
-    best = retrieval.best_case(_retrieved(spark, folder, 3))
+    best = retrieval.best_case(_retrieved(spark, folder, 3)[0])
     return _rounded(best, *_SCORES).select("query_id", "case_id", *_SCORES)
 
 
+@register("w8_ordered_cases", f"""{_retrieval_sql(3)}
+SELECT query_id, string_agg(CAST(case_id AS VARCHAR), '|' ORDER BY rank) AS case_ids FROM ranked GROUP BY query_id""")
+def _(spark, folder):
+    listed = retrieval.cases_per_query(_retrieved(spark, folder, 3)[0])
+    ids = F.transform("cases", lambda c: c["case_id"].cast("string"))
+    return listed.select("query_id", F.array_join(ids, "|").alias("case_ids"))
+
+
 @register("o3_first_queries", f"""{_retrieval_sql(3)}
 SELECT query_id, rank, case_id, left(customer_case, 600) AS customer_case FROM ranked
 WHERE query_id IN (SELECT DISTINCT query_id FROM ranked ORDER BY query_id LIMIT 5)""")
 def _(spark, folder):
-    found = cut_lineage(_retrieved(spark, folder, 3).drop("support_response"))
-    first = retrieval.queries_of_first_ids(found, 5)
+    ranked, cases = _retrieved(spark, folder, 3)
+    first = retrieval.with_case_texts(retrieval.queries_of_first_ids(cut_lineage(ranked), 5), cases)
     return first.select(
         "query_id", F.col("rank").cast("bigint").alias("rank"), "case_id",
         tx.shorten(F.col("customer_case")).alias("customer_case"),
@@ -310,7 +323,8 @@ _IS_GROUNDED = f"(similarity >= 0.2 AND {_CLEANED} <> '')"
 @register("e4_decide", f"""{_retrieval_sql(1)}
 SELECT query_id, {_ACTION} AS action, {_REASON} AS reason FROM ranked""")
 def _(spark, folder):
-    found = _retrieved(spark, folder, 1).join(_classified(spark, folder).select("query_id", "intent"), "query_id")
+    intents = _classified(spark, folder).select("query_id", "intent")
+    found = _retrieved(spark, folder, 1)[0].join(intents, "query_id")
     decision = decisions.route(
         F.col("intent"), F.col("similarity"), F.col("intent_compatibility"), F.col("combined_score")
     )
@@ -330,7 +344,8 @@ SELECT query_id, CASE WHEN label = 'YES' OR intent IN ('ACCOUNT_SECURITY', 'BILL
   WHEN similarity >= 0.35 THEN {_q(lexicon.REASON_SIMILAR)} WHEN similarity >= 0.2 THEN {_q(lexicon.REASON_GATE_MODERATE)}
   ELSE {_q(lexicon.REASON_NO_CASE)} END AS reason FROM labelled""")
 def _(spark, folder):
-    found = _retrieved(spark, folder, 1).join(_classified(spark, folder).select("query_id", "intent"), "query_id")
+    intents = _classified(spark, folder).select("query_id", "intent")
+    found = _retrieved(spark, folder, 1)[0].join(intents, "query_id")
     label = F.when(F.col("query_id") % 5 == 0, "YES").when(F.col("query_id") % 3 == 0, "NO")
     confidence = F.floor(F.col("query_id") / TURN_SPACE) % 10 / F.lit(50.0)
     gate = decisions.escalation_gate(F.col("intent"), confidence, F.col("similarity"), label)
@@ -342,7 +357,8 @@ SELECT query_id, {_GROUNDED} AS response, {_IS_GROUNDED} AS grounded, NOT {_IS_G
 FROM ranked""")
 def _(spark, folder):
     reply = decisions.grounded_reply(F.col("similarity"), F.col("support_response"))
-    return _retrieved(spark, folder, 1).select("query_id", reply.alias("r")).select(
+    found = retrieval.with_case_texts(*_retrieved(spark, folder, 1))
+    return found.select("query_id", reply.alias("r")).select(
         "query_id", "r.response", "r.grounded", "r.needs_escalation"
     )
 
@@ -378,7 +394,7 @@ def _flat_triage(results):
 def triage(spark, folder):
     cases = _cases(spark, folder)
     return _flat_triage(triage_plan.triage(
-        _queries(spark, folder), cases, _case_model(cases), rules=RULES, keywords=KEYWORDS
+        _queries(spark, folder), cases, _case_model(cases), rules=RULES, keywords=KEYWORDS, case_texts=False
     ))
 
 
@@ -643,7 +659,7 @@ def _(spark, folder):
     arriving = stream.select(_turn_ids().alias("query_id"), tx.normalize(F.col("text")).alias("query"))
 
     def triage_batch(batch):
-        return _flat_triage(triage_plan.triage(batch, cases, model, rules=RULES, keywords=KEYWORDS))
+        return _flat_triage(triage_plan.triage(batch, cases, model, rules=RULES, keywords=KEYWORDS, case_texts=False))
 
     target = scratch_path(spark, "triage")
     jobs.start_triage(arriving, triage_batch, target, scratch_path(spark, "triage-log"), True).awaitTermination()

@@ -8,6 +8,7 @@ from caseweave.functions import lexicon
 from caseweave.functions.decisions import RuleTable, action_reply, route
 from caseweave.operators import tfidf
 from caseweave.operators.classify import IntentModel, classify
+from caseweave.operators.relational import validate_requests
 from caseweave.operators.retrieval import Keywords, cases_per_query, retrieve, with_case_texts
 from caseweave.session import cut_lineage
 
@@ -76,3 +77,12 @@ def triage(
 def service_response(results: DataFrame) -> DataFrame:
     """The triage result as the service shapes it."""
     return results.withColumnRenamed("retrieved_cases", "historical_cases")
+
+
+def serve(
+    requests: DataFrame, cases: DataFrame, text_model: tfidf.TfidfModel, top_k: int = 3, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Responses to the valid requests of (query_id, message), and the rejected requests."""
+    accepted, rejected = validate_requests(requests, top_k)
+    messages = accepted.select("query_id", F.col("message").alias("query"))
+    return service_response(triage(messages, cases, text_model, top_k=top_k, **options)), rejected

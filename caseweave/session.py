@@ -56,11 +56,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *key: str) -> DataFrame:
     """Give a scan with fewer splits than cores one partition per core; a scan with enough splits stays as it is.
 
+    ``key`` should be unique per row, so that no partition gets more than its share.
     Call it on a plain scan or on a table from :func:`cut_lineage`, where the number of splits is known without
     running a job.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)

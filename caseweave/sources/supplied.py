@@ -11,10 +11,13 @@ TURN_SPACE = 1_000_000_000
 BRANDS = 6
 
 
-def table(spark: SparkSession, folder: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """One table; ``spread_by`` names its key when heavy text work should use every core on a small file."""
+KEYS = {"conversations": ("conv_id", "turn"), "documents": ("doc_id",), "pages": ("page_id",)}
+
+
+def table(spark: SparkSession, folder: str, name: str, text_work: bool = False) -> DataFrame:
+    """One table; ``text_work`` spreads a small file over all cores by its unique key."""
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(df, spread_by) if spread_by else df
+    return spread(df, *KEYS[name]) if text_work else df
 
 
 def messages(spark: SparkSession, folder: str, children: bool = False) -> DataFrame:
@@ -51,7 +54,7 @@ def messages(spark: SparkSession, folder: str, children: bool = False) -> DataFr
 
 def support_threads(spark: SparkSession, folder: str) -> DataFrame:
     """Each conversation up to its last support turn, as the long thread form; the turns are already numbered."""
-    turns = table(spark, folder, "conversations", spread_by="conv_id")
+    turns = table(spark, folder, "conversations", text_work=True)
     last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("_last"))
     kept = turns.join(last, "conv_id").where(F.col("turn") <= F.col("_last"))
     return kept.select(

@@ -242,26 +242,26 @@ def _(spark, folder):
 
 @register("f1_clean_pages", f"SELECT page_id, {sql.clean('html')} AS clean_text FROM pages")
 def _(spark, folder):
-    pages = table(spark, folder, "pages", spread_by="page_id")
+    pages = table(spark, folder, "pages", text_work=True)
     return pages.select("page_id", tx.clean_text(F.col("html")).alias("clean_text"))
 
 
 @register("f1_clean_documents", f"""SELECT doc_id, {sql.clean('text')} AS clean_text FROM documents
 WHERE NOT {sql.blank('text')}""")
 def _(spark, folder):
-    docs = drop_blank(table(spark, folder, "documents", spread_by="doc_id"), "text")
+    docs = drop_blank(table(spark, folder, "documents", text_work=True), "text")
     return docs.select("doc_id", tx.clean_text(F.col("text"), full_entities=False).alias("clean_text"))
 
 
 @register("f5_normalize", f"SELECT doc_id, {sql.normalize('text')} AS normalized FROM documents")
 def _(spark, folder):
-    docs = table(spark, folder, "documents", spread_by="doc_id")
+    docs = table(spark, folder, "documents", text_work=True)
     return docs.select("doc_id", tx.normalize(F.col("text")).alias("normalized"))
 
 
 @register("f6_clean_reply", f"SELECT doc_id, {sql.clean_reply('text')} AS reply FROM documents")
 def _(spark, folder):
-    docs = table(spark, folder, "documents", spread_by="doc_id")
+    docs = table(spark, folder, "documents", text_work=True)
     return docs.select("doc_id", tx.clean_reply(F.col("text")).alias("reply"))
 
 
@@ -282,7 +282,7 @@ def _(spark, folder):
 {sql.contains_any('text', lexicon.RESOLUTION_SIGNALS)} AS resolution FROM documents""")
 def _(spark, folder):
     text = F.col("text")
-    return table(spark, folder, "documents", spread_by="doc_id").select(
+    return table(spark, folder, "documents", text_work=True).select(
         "doc_id", tx.word_count(text).cast("bigint").alias("n_words"), tx.asks_for_dm(text).alias("dm"),
         tx.apologises(text).alias("apology"), tx.signals_resolution(text).alias("resolution"),
     )
@@ -311,17 +311,17 @@ printf('%.2f%%', 100.0 * count(*) FILTER ({sql.contains_any('text', ['the'])}) /
 FROM documents GROUP BY source""")
 def _(spark, folder):
     grouped = table(spark, folder, "documents").groupBy("source").agg(
-        F.max("text").alias("t"),
+        F.max(tx.shorten(F.col("text"))).alias("t"),
         tx.safe_ratio(F.count_if(tx.contains_any(F.col("text"), ["the"])), F.count(F.lit(1))).alias("r"),
     )
-    return grouped.select("source", tx.shorten(F.col("t")).alias("excerpt"), tx.as_percent(F.col("r")).alias("share"))
+    return grouped.select("source", F.col("t").alias("excerpt"), tx.as_percent(F.col("r")).alias("share"))
 
 
 @register("f19_keyword_scores", "SELECT doc_id, " + ", ".join(
     f"round({sql.compatibility_case(sql.quoted(i), 'text', KEYWORDS)}, 6) AS {i.lower()}" for i in KEYWORDS
 ) + " FROM documents")
 def _(spark, folder):
-    docs = table(spark, folder, "documents", spread_by="doc_id")
+    docs = table(spark, folder, "documents", text_work=True)
     return docs.select("doc_id", *[
         F.round(decisions.keyword_compatibility(F.col("text"), i, KEYWORDS), 6).alias(i.lower()) for i in KEYWORDS
     ])

@@ -41,7 +41,7 @@ def _turn_ids():
 
 def _customer_texts(spark, folder):
     """(id, text) of all customer turns."""
-    turns = table(spark, folder, "conversations", spread_by="conv_id").where("role = 'user'")
+    turns = table(spark, folder, "conversations", text_work=True).where("role = 'user'")
     return turns.select(_turn_ids().alias("id"), "text")
 
 
@@ -87,7 +87,7 @@ ranked AS (
 
 
 def _document_matches(spark, folder):
-    documents = drop_blank(table(spark, folder, "documents", spread_by="doc_id").select("doc_id", "text"), "text")
+    documents = drop_blank(table(spark, folder, "documents", text_work=True).select("doc_id", "text"), "text")
     corpus = cut_lineage(unique_texts(documents, "text", "doc_id"))
     model = tfidf.fit(tfidf.document_text(corpus, "doc_id", "text"))
     queries = _customer_texts(spark, folder).select(F.col("id").alias("query_id"), F.col("text").alias("query"))
@@ -127,7 +127,7 @@ _ENGLISH = "english AS (SELECT doc_id AS id, text FROM documents WHERE lang = 'e
 {sql.vocabulary('g', 'english', 3, 0.9, 5000)}, {sql.weights('w', 'g')}
 SELECT term, round(sum(w) / (SELECT n FROM corpus_size), 6) AS tfidf_score FROM w GROUP BY term""")
 def _(spark, folder):
-    docs = table(spark, folder, "documents", spread_by="doc_id").where("lang = 'en'")
+    docs = table(spark, folder, "documents", text_work=True).where("lang = 'en'")
     params = tfidf.TfidfParams(**tfidf.DISCOVERY, stop_words=STOP_WORDS)
     model, vectors = tfidf.fit_transform(tfidf.document_text(docs, "doc_id", "text"), params)
     return _rounded(tfidf.keyword_scores(vectors, model), "tfidf_score")
@@ -191,7 +191,7 @@ def _(spark, folder):
 @register("m12_document_rules", f"""SELECT doc_id, {sql.rule_case('text', RULES)} AS intent,
 {sql.rule_case('text', lexicon.INTENT_RULES)} AS default_intent FROM documents""")
 def _(spark, folder):
-    docs = table(spark, folder, "documents", spread_by="doc_id")
+    docs = table(spark, folder, "documents", text_work=True)
     return docs.select(
         "doc_id", decisions.rule_intent(F.col("text"), RULES).alias("intent"),
         decisions.rule_intent(F.col("text")).alias("default_intent"),
@@ -400,14 +400,14 @@ def triage(spark, folder):
 
 # --- batch evaluation -------------------------------------------------------------------------------------------
 
-# Gold labels of every customer turn, by a rule of its id; some have none and are dropped.
+# Gold labels of every customer turn, by a rule of its id.
 _GOLD = {"intent": ("PLAYBACK", "ACCOUNT_LOGIN", "APP_TECHNICAL", "OTHER", "ACCOUNT_SECURITY", "BILLING_PAYMENT")}
-_GOLD_INDEX = f"(conv_id + turn) % {len(_GOLD['intent']) + 1}"
+_GOLD_INDEX = f"(conv_id + turn) % {len(_GOLD['intent'])}"
 _GOLD_SQL = "CASE " + _GOLD_INDEX + " " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(_GOLD["intent"])) + " END"
 
 
 def _golden_set(spark, folder):
-    turns = table(spark, folder, "conversations", spread_by="conv_id").where("role = 'user'")
+    turns = table(spark, folder, "conversations", text_work=True).where("role = 'user'")
     return turns.select(
         _turn_ids().alias("annotation_id"),
         tx.normalize(F.col("text")).alias("clean_text"),
@@ -421,7 +421,7 @@ _GOLD_TABLE = f"""gold AS (
   SELECT conv_id * {TURN_SPACE} + turn AS query_id, {_GOLD_SQL} AS gold_intent,
     CASE WHEN turn > 2 THEN 'RESOLVED' ELSE 'UNCLEAR' END AS gold_resolution,
     CASE WHEN turn > 4 THEN 'YES' ELSE 'NO' END AS gold_escalation
-  FROM conversations WHERE role = 'user' AND {_GOLD_SQL} IS NOT NULL)"""
+  FROM conversations WHERE role = 'user')"""
 _EVALUATED = f"""{_TRIAGED}, {_GOLD_TABLE},
 evaluated AS (
   SELECT g.query_id AS example_id, query, gold_intent, intent AS predicted_intent, confidence AS classifier_confidence,
@@ -500,9 +500,9 @@ def _(spark, folder):
 def _section_sql():
     return """chr(10) || '--- Historical Case ' || rank || ' ---' || chr(10) || chr(10) || 'Historical Customer:' || chr(10)
     || customer_case || chr(10) || chr(10) || 'Historical Support Response:' || chr(10) || coalesce(support_response, '')
-    || chr(10) || chr(10) || 'Retrieval similarity:' || chr(10) || printf('%.3f', similarity)
-    || chr(10) || chr(10) || 'Intent compatibility:' || chr(10) || printf('%.3f', compat)
-    || chr(10) || chr(10) || 'Combined retrieval score:' || chr(10) || printf('%.3f', combined) || chr(10)"""
+    || chr(10) || chr(10) || 'Retrieval similarity:' || chr(10) || printf('%.3f', round(similarity, 9))
+    || chr(10) || chr(10) || 'Intent compatibility:' || chr(10) || printf('%.3f', round(compat, 9))
+    || chr(10) || chr(10) || 'Combined retrieval score:' || chr(10) || printf('%.3f', round(combined, 9)) || chr(10)"""
 
 
 def _prompt_sql(query, response, evidence):
@@ -590,7 +590,7 @@ def _(spark, folder):
 
 
 def _labelled_documents(spark, folder):
-    docs = table(spark, folder, "documents", spread_by="doc_id").select("doc_id", "text")
+    docs = table(spark, folder, "documents", text_work=True).select("doc_id", "text")
     label = F.concat(F.lit("q"), "quality", F.lit("t"), "toxic")
     return docs.join(table(spark, folder, "labels"), "doc_id").select(
         F.col("doc_id").alias("id"), "text", label.alias("intent")
@@ -601,7 +601,7 @@ def _labelled_documents(spark, folder):
 def _(spark, folder):
     """Fit on the labelled documents and classify all documents: rules first, the model for the rest."""
     model = classify.fit(_labelled_documents(spark, folder), max_iter=100)
-    docs = tfidf.document_text(table(spark, folder, "documents", spread_by="doc_id"), "doc_id", "text")
+    docs = tfidf.document_text(table(spark, folder, "documents", text_work=True), "doc_id", "text")
     return _rounded(classify.classify(docs, model), "confidence")
 
 

@@ -215,8 +215,11 @@ def test_triage_end_to_end(spark):
     assert (rows[2]["action"], rows[2]["needs_escalation"]) == ("ESCALATE", True)
     assert (rows[3]["action"], rows[3]["intent"]) == ("CLARIFY", "OTHER")
     assert rows[4]["intent"] == "PLAYLIST_LIBRARY" and len(rows[4]["retrieved_cases"]) == 2
-    served = triage_plan.service_response(results)
+    requests = messages.withColumnRenamed("query", "message").union(spark.createDataFrame([(5, "")], "query_id long, message string"))
+    served, rejected = triage_plan.serve(requests, cases, model, top_k=1)
     assert "historical_cases" in served.columns and "retrieved_cases" not in served.columns
+    assert {r["query_id"]: len(r["historical_cases"]) for r in served.collect()} == {1: 1, 2: 1, 3: 1, 4: 1}
+    assert [r["query_id"] for r in rejected.collect()] == [5]
 
 
 def test_triage_without_cases_clarifies(spark):

@@ -9,6 +9,11 @@ from caseweave.operators.relational import customers_of, drop_blank
 from caseweave.operators.sampling import unique_texts
 
 
+def _with_case_text(cases: DataFrame) -> DataFrame:
+    """Both sides of a case as one text; they are normalised already, so only a missing reply leaves a blank to trim."""
+    return cases.withColumn("case_text", F.trim(F.concat("customer_text", F.lit(" "), "support_text")))
+
+
 def cases_from_turns(turns: DataFrame, brand: str | None = None) -> DataFrame:
     """One case per thread with a customer text: ids of its non-blank turns and the texts per speaker.
 
@@ -24,20 +29,20 @@ def cases_from_turns(turns: DataFrame, brand: str | None = None) -> DataFrame:
         return F.collect_list(F.when(F.col("speaker") == speaker, F.struct("position", "t")))
 
     def joined(column: str):
-        return F.array_join(F.transform(F.array_sort(column), lambda e: e["t"]), " ")
+        return F.array_join(F.transform(F.sort_array(column), lambda e: e["t"]), " ")
 
     gathered = spoken.groupBy("support_tweet_id").agg(
         F.collect_list(F.when(F.col("tweet_id").isNotNull(), F.struct("position", "tweet_id"))).alias("_ids"),
         said_by("customer").alias("_customer"),
         said_by("support").alias("_support"),
-    )
+    ).where(F.size("_customer") > 0)
     cases = gathered.select(
         "support_tweet_id",
-        F.transform(F.array_sort("_ids"), lambda e: e["tweet_id"]).alias("tweet_ids"),
+        F.transform(F.sort_array("_ids"), lambda e: e["tweet_id"]).alias("tweet_ids"),
         joined("_customer").alias("customer_text"),
         joined("_support").alias("support_text"),
-    ).where("customer_text <> ''")
-    return cases.withColumn("case_text", tx.normalize(F.concat("customer_text", F.lit(" "), "support_text")))
+    )
+    return _with_case_text(cases)
 
 
 def cases_from_threads(threads: DataFrame) -> DataFrame:
@@ -61,7 +66,7 @@ def cases_from_threads(threads: DataFrame) -> DataFrame:
         joined("customer").alias("customer_text"),
         joined("support").alias("support_text"),
     ).where("customer_text <> ''")
-    return cases.withColumn("case_text", tx.normalize(F.concat("customer_text", F.lit(" "), "support_text")))
+    return _with_case_text(cases)
 
 
 def without_overlap(cases: DataFrame, golden: DataFrame) -> DataFrame:

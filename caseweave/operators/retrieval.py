@@ -99,7 +99,7 @@ def cases_per_query(ranked: DataFrame, key: str = "query_id") -> DataFrame:
     The texts are part of an entry if they were looked up before.
     """
     entry = F.struct(*[c for c in CASE_FIELDS if c in ranked.columns])
-    return ranked.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("cases"))
+    return ranked.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("cases"))
 
 
 def cited_cases(ranked: DataFrame, cases: DataFrame, id_column: str = "support_tweet_id") -> DataFrame:

@@ -17,6 +17,7 @@ CASE_ENTRIES = 4_000_000  # vector entries per case block
 QUERY_ENTRIES = 1_000_000  # vector entries per query block
 QUERY_ROWS = 2_048
 CASE_ROWS = 65_536
+MOST_PARTITIONS = 50_000
 
 
 def _block_count(vectors: DataFrame, entries: int, rows: int, id_column: str) -> tuple[int, int]:
@@ -64,9 +65,11 @@ def top_k(
     def score(query_table, case_table):
         return blocks.top_k_of_blocks(query_table, case_table, k, similarity_weight, compatibility_weight)
 
+    # As many partitions as block pairs call for, whatever the session's default is.
+    partitions = min(2 * query_blocks * case_blocks, MOST_PARTITIONS)
     scored = (
-        spread_queries.groupBy("_q", "_c")
-        .cogroup(spread_cases.groupBy("_q", "_c"))
+        spread_queries.repartition(partitions, "_q", "_c").groupBy("_q", "_c")
+        .cogroup(spread_cases.repartition(partitions, "_q", "_c").groupBy("_q", "_c"))
         .applyInArrow(score, blocks.RESULT)
     )
     best_first = Window.partitionBy("query_id").orderBy(F.desc(F.round("combined_score", blocks.DECIMALS)), "case_id")

@@ -109,16 +109,20 @@ def fit(docs: DataFrame, params: TfidfParams = TfidfParams()) -> TfidfModel:
     terms = terms.where((F.col("df") >= params.min_df) & (F.col("df") <= params.max_df * documents))
     idf = F.log((F.lit(1.0) + documents) / (F.lit(1.0) + F.col("df"))) + 1.0
     terms = terms.withColumn("idf", idf)
+    kept = ["term", "index", "df", "total", "idf"]
+    by_term = (F.row_number().over(Window.orderBy("term")) - 1).alias("index")
     if params.max_features is not None:
         terms = terms.orderBy(F.desc("total"), "term").limit(params.max_features)
+    if params.max_features is not None and params.max_features <= SMALL_VOCABULARY:
+        vocabulary = cut_lineage(terms.select("*", by_term).select(*kept))
+        return TfidfModel(vocabulary, params, documents, vocabulary.count())
     terms = cut_lineage(terms)
     size = terms.count()
     if size <= SMALL_VOCABULARY:
-        numbered = terms.withColumn("index", F.row_number().over(Window.orderBy("term")) - 1)
+        numbered = terms.select("*", by_term)
     else:
         numbered = dense_row_id(terms, ["term"], "_n").withColumn("index", (F.col("_n") - 1).cast("int"))
-    vocabulary = cut_lineage(numbered.select("term", "index", "df", "total", "idf"))
-    return TfidfModel(vocabulary, params, documents, size)
+    return TfidfModel(cut_lineage(numbered.select(*kept)), params, documents, size)
 
 
 def raw_weights(docs: DataFrame, model: TfidfModel, carry: Sequence[str] = ()) -> DataFrame:
@@ -136,7 +140,7 @@ def transform(docs: DataFrame, model: TfidfModel, carry: Sequence[str] = ()) ->
     entry = F.when(F.col("index").isNotNull(), F.struct("index", "weight"))
     # The norm is an aggregate of its own: inside the lambda below it would be computed once per entry.
     packed = raw_weights(docs, model, carry).groupBy("id", *carry).agg(
-        F.array_sort(F.collect_list(entry)).alias("_v"),
+        F.sort_array(F.collect_list(entry)).alias("_v"),
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"),
     )
     return packed.select(

@@ -139,7 +139,7 @@ def nest_threads(turns: DataFrame) -> DataFrame:
     """One THREAD record per leaf. A record holds its whole thread, so a thread must fit in a row."""
     turn = F.struct("position", "tweet_id", "speaker", "author_id", "created_at", "text", "parent_id")
     nested = turns.groupBy("brand", "support_tweet_id", "num_messages").agg(
-        F.array_sort(F.collect_list(turn)).alias("_turns")
+        F.sort_array(F.collect_list(turn)).alias("_turns")
     )
     conversation = F.transform("_turns", lambda t: t.dropFields("position"))
     return nested.select(
@@ -211,7 +211,7 @@ def _render(starts: DataFrame, lines: DataFrame, customer_label: str, support_la
     speaker = F.when(F.col("inbound"), customer_label).otherwise(support_label)
     line = F.concat(speaker, F.lit(": "), F.trim("_text"))
     kept = lines.where(~tx.is_blank(F.col("_text"))).groupBy("start").agg(
-        F.array_sort(F.collect_list(F.struct("place", line.alias("line")))).alias("_lines")
+        F.sort_array(F.collect_list(F.struct("place", line.alias("line")))).alias("_lines")
     )
     joined = F.array_join(F.transform("_lines", lambda entry: entry["line"]), "\n")
     return starts.join(kept, "start", "left").select(

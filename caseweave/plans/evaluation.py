@@ -105,7 +105,7 @@ def attach_evidence(agent: DataFrame, retrieved: DataFrame) -> DataFrame:
     )
     if not by_id:
         evidence = evidence.distinct()
-    gathered = evidence.groupBy(key).agg(F.array_sort(F.collect_list("_case")).alias("cases"))
+    gathered = evidence.groupBy(key).agg(F.sort_array(F.collect_list("_case")).alias("cases"))
     return agent.join(gathered, key, "left")
 
 

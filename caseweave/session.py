@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,25 +29,29 @@ def build_session(app: str = "caseweave", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only on a local master, where driver and executors share one disk.
+    Where the setting is absent, a folder below Spark's warehouse stands in, on a local master only.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
         return configured
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="caseweave-"))
-    return context.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet to the shared folder and read it back.
+
+    The later plan is a plain scan: columns are pruned, sizes are known, and lost executors take nothing with them.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and continue from there; survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Continue from a table in the shared folder; survives the loss of executors."""
+    return stored(df, "cut")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

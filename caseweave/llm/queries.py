@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseweave.llm import byte_bpe, frames, line_quality
+from caseweave.llm import byte_bpe, frames, line_quality, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,21 +22,25 @@ def op3_line_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 OP3 = r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, regexp_extract_all(text, '[^ 	-]+') AS w FROM d),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^ 	-
+]+') AS w FROM d),
 p AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS p, w FROM w WHERE len(w) >= 5),
 g AS (SELECT doc_id, p, array_to_string(w[p:p + 4], ' ') AS g FROM p),
 r AS (SELECT doc_id, unnest(range(p, p + 5)) AS p FROM (
   SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
 n AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM r GROUP BY doc_id),
 l AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
-k AS (SELECT *, trim(regexp_replace(lower(line), '[ 	-]+', ' ', 'g'), ' ') AS normal FROM l),
+k AS (SELECT *, trim(regexp_replace(lower(line), '[ 	-
+]+', ' ', 'g'), ' ') AS normal FROM l),
 c AS (SELECT host, normal, count(DISTINCT text) AS n FROM k WHERE normal <> '' GROUP BY ALL),
 t AS (SELECT host, count(DISTINCT text) AS total FROM d GROUP BY host),
 hot AS (SELECT host, normal FROM c JOIN t USING (host) WHERE n > 10 AND n > total * CAST(0.1 AS DOUBLE)),
-gone AS (SELECT doc_id, sum(len(regexp_extract_all(line, '[^ 	-]+'))) AS gone
+gone AS (SELECT doc_id, sum(len(regexp_extract_all(line, '[^ 	-
+]+'))) AS gone
   FROM k JOIN hot USING (host, normal) GROUP BY doc_id),
 dup AS (SELECT doc_id, count(line) - count(DISTINCT line) AS n_dup_lines FROM l
-  WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+  WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY doc_id),
 m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
   CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
   CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
@@ -47,6 +51,24 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 """
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages, from the archives that they were written to."""
+    manifest = warc.write(table(spark, folder, "pages"))
+    return warc.read(manifest).where("record_type IN ('response', 'revisit')").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP4 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to FROM f
+"""
+
+
 def op8_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of all documents, from the files they were written to."""
     manifest = frames.write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -68,5 +90,5 @@ def byte_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {"op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
-SQL: dict[str, str] = {"op3_line_quality": OP3}
+QUERIES = {"op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
+SQL: dict[str, str] = {"op4_warc": OP4, "op3_line_quality": OP3}

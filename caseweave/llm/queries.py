@@ -5,13 +5,42 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseweave.llm import byte_bpe, frames, line_quality, warc
+from caseweave.llm import byte_bpe, frames, licences, line_quality, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """The licences recognised in all documents."""
+    return licences.recognise(table(spark, folder, "documents"))
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in rows)
+
+
+OP2 = rf"""
+WITH known(code, normal) AS (VALUES {_values(licences.SENTENCES.items())}),
+rule(n, licence, pattern) AS (VALUES {_values((f"{i:02d}", *r) for i, r in enumerate(licences.RULES))}),
+s AS (SELECT doc_id, string_split_regex(
+  regexp_replace(text, '{licences.GOES_ON}', ' ', 'g'), '{licences.SENTENCE_END}') AS s FROM documents),
+e AS (SELECT doc_id, unnest(range(len(s))) AS pos, unnest(s) AS sentence FROM s),
+k AS (SELECT doc_id, pos, code FROM (
+  SELECT doc_id, pos, trim(regexp_replace(lower(sentence), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS normal FROM e) JOIN known USING (normal)),
+g AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) > 3 THEN ' ' ELSE '' END || code AS marked FROM k),
+q AS (SELECT doc_id, list(pos ORDER BY pos) AS ats, string_agg(marked, '' ORDER BY pos) AS sequence FROM g GROUP BY doc_id),
+r AS (SELECT doc_id, ats, regexp_extract_all(sequence, '(?:{"|".join(p for _, p in licences.RULES)})|.') AS runs FROM q),
+u AS (SELECT doc_id, ats, unnest(range(len(runs))) AS i, unnest(runs) AS run FROM r),
+c AS (SELECT *, sum(CASE WHEN run = ' ' THEN 0 ELSE length(run) END) OVER (PARTITION BY doc_id ORDER BY i) - length(run) AS before FROM u),
+m AS (SELECT doc_id, ats, i, run, before, min(n || licence) AS named FROM c JOIN rule ON regexp_full_match(run, pattern) GROUP BY ALL)
+SELECT doc_id, named[3:] AS licence, count(*) AS n_matches, CAST(sum(length(run)) AS BIGINT) AS n_sentences,
+  CAST(min(ats[CAST(before AS BIGINT) + 1]) AS BIGINT) AS first_sentence
+FROM m GROUP BY doc_id, named[3:]
+"""
+
+
 def op3_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Measures of all documents and the verdict of the quality rules."""
     return line_quality.assess(table(spark, folder, "documents")).select(
@@ -90,5 +119,5 @@ def byte_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {"op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
-SQL: dict[str, str] = {"op4_warc": OP4, "op3_line_quality": OP3}
+QUERIES = {"op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
+SQL: dict[str, str] = {"op2_licences": OP2, "op4_warc": OP4, "op3_line_quality": OP3}

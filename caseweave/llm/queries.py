@@ -5,13 +5,33 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseweave.llm import byte_bpe, frames, licences, line_quality, warc
+from caseweave.llm import byte_bpe, frames, licences, line_quality, mixing, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+LANGUAGE_WEIGHTS = {"en": 0.55, "de": 0.15, "es": 0.15, "fr": 0.15}
+
+
+def language_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], **limits) -> DataFrame:
+    """Rates that bring the languages to ``weights``; languages are learned from the documents that ``labels`` lists."""
+    labelled = docs.select("doc_id", "lang").join(labels.select("doc_id"), "doc_id", "left_semi")
+    members = mixing.posteriors(docs, labelled.selectExpr("doc_id AS id", "lang AS domain"), list(weights))
+    return mixing.fit_rates(members, weights, **limits)[0]
+
+
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Domain posteriors, rate and number of copies of all documents."""
+    rated = language_rates(table(spark, folder, "documents"), table(spark, folder, "labels"), LANGUAGE_WEIGHTS)
+    return rated.select(
+        F.col("id").alias("doc_id"), "n_tokens",
+        *[F.get("p", F.lit(i)).alias(f"p_{domain}") for i, domain in enumerate(LANGUAGE_WEIGHTS)],
+        "rate", mixing.copies(F.col("id"), F.col("rate")).alias("n_copies"),
+    )
+
+
 def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
     """The licences recognised in all documents."""
     return licences.recognise(table(spark, folder, "documents"))
@@ -119,5 +139,5 @@ def byte_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {"op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
 SQL: dict[str, str] = {"op2_licences": OP2, "op4_warc": OP4, "op3_line_quality": OP3}

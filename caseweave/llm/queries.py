@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseweave.llm import byte_bpe, frames, licences, line_quality, mixing, warc
+from caseweave.llm import byte_bpe, chunks, frames, licences, line_quality, mixing, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -118,6 +118,13 @@ SELECT page_id, payload_bytes, payload_digest,
 """
 
 
+def op5_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """The passages that repeat across all documents: where they lie, who holds them first, what the others lose."""
+    found = chunks.passages(table(spark, folder, "documents"))
+    lost = F.aggregate("lost", F.lit(0).cast("long"), lambda n, s: n + s.stop - s.start)
+    return found.select("doc_id", "start", "stop", "n_words", "first_doc_id", lost.alias("lost_bytes"))
+
+
 def op8_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of all documents, from the files they were written to."""
     manifest = frames.write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -139,5 +146,5 @@ def byte_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op5_chunks": op5_chunks, "op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
 SQL: dict[str, str] = {"op2_licences": OP2, "op4_warc": OP4, "op3_line_quality": OP3}

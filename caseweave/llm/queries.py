@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseweave.llm import byte_bpe, chunks, frames, licences, line_quality, mixing, warc
+from caseweave.llm import byte_bpe, chunks, frames, licences, line_quality, mixing, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -125,6 +125,21 @@ def op5_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "start", "stop", "n_words", "first_doc_id", lost.alias("lost_bytes"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents; a third of the ids is held out of training."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    learned = labels.where(~held_out & F.col("toxic").isNotNull()).selectExpr("doc_id AS id", "CAST(toxic AS INT) AS label")
+    machine = toxicity.train(docs, learned.distinct())
+    if machine is None:
+        scored = docs.select("doc_id", F.lit(0.5).alias("score"))
+    else:
+        scored = toxicity.score(docs, machine)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
+
+
 def op8_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of all documents, from the files they were written to."""
     manifest = frames.write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -146,5 +161,5 @@ def byte_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {"op5_chunks": op5_chunks, "op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op7_toxicity": op7_toxicity, "op5_chunks": op5_chunks, "op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
 SQL: dict[str, str] = {"op2_licences": OP2, "op4_warc": OP4, "op3_line_quality": OP3}

@@ -7,9 +7,9 @@ length. Letters put apart by spaces are read as one word as well.
 
 Training uses a bounded sample of labelled documents (``most_toxic`` and ``most_clean``, those of the smallest hashes)
 and their sentences. Sentences of clean documents are negative. A toxic label holds for a document, so a sentence of
-a toxic document is positive through one word, its witness: a word that no clean sentence holds. Witnesses are chosen
-by support at first, then by the machine's own score (two rounds), and the clean words that score highest are added
-as negatives. The machine is linear in the Nystroem features, so it folds into one weight per character sequence of
+a toxic document is positive through one word, its witness: a word that next to no clean sentence holds. Witnesses are
+chosen by support at first, then by the machine's own score as well (two rounds), and the clean words that score
+highest are added as negatives. Frequent witnesses are learned with characters put in too. The machine is linear in the Nystroem features, so it folds into one weight per character sequence of
 the landmarks; a word's score is the sum of its sequences' weights, the same number as through the kernel values.
 
 A text scores as its highest word, put on a 0..1 scale by a logistic fit to the sampled documents.
@@ -22,7 +22,7 @@ rows that repeat an id are each scored; a null id is not held out; without label
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -38,8 +38,12 @@ from caseweave.session import stored
 ORDER, SPAN, DECAY = 4, 7, 0.5
 CLASSES, PADDING = 40, 39
 PIECE = 24
-FLOOR = -2.0
+FLOOR, CEILING = -2.0, 1.2  # beyond the margin a score says no more
 MEMO_WORDS = 700_000
+# A word marks toxic sentences when they outnumber the clean ones it is in by CLEAN_SHARE; with SUPPORT (or one in a
+# hundred of the toxic documents) it is a witness from the start. The most frequent MOST_VARIED witnesses are also learned in disguise.
+CLEAN_SHARE, SUPPORT, MOST_VARIED = 20, 3, 300
+POSITIVE_WEIGHT = 2.0
 STRIP = ".,;:!?\"'()[]{}<>*#$%&|-_"
 SPACED = r"(?<!\S)(?:\S\s){2,}\S(?!\S)"
 
@@ -137,7 +141,7 @@ class Scorer:
         cut = [pieces(word.lower().strip(STRIP)) for word in words]
         flat = sums([p for own in cut for p in own], self.table) + self.machine.bias
         starts = np.cumsum([0, *(len(own) for own in cut)])[:-1]
-        return np.maximum(np.maximum.reduceat(flat, starts), FLOOR) if len(flat) else flat
+        return np.clip(np.maximum.reduceat(flat, starts), FLOOR, CEILING) if len(flat) else flat
 
     def texts(self, texts: list[str | None]) -> np.ndarray:
         split = []
@@ -159,10 +163,22 @@ class Scorer:
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Scaled kernel values of words and landmarks."""
-    out = np.empty((len(words), len(landmarks)), np.float32)
-    for j, landmark in enumerate(landmarks):
-        out[:, j] = sums(words, landmark_table([landmark], np.ones(1)))
+    """Scaled kernel values of words of up to PIECE characters and landmarks."""
+    parts = [landmark_weights([landmark], np.ones(1)) for landmark in landmarks]
+    numbers = np.unique(np.concatenate([n for n, _ in parts]))
+    place = np.zeros(CLASSES**ORDER, np.int32)
+    place[numbers] = np.arange(1, len(numbers) + 1)
+    weights = np.zeros((len(numbers) + 1, len(landmarks)))
+    for j, (own, values) in enumerate(parts):
+        weights[place[own], j] = values
+    out = np.zeros((len(words), len(landmarks)))
+    for at in range(0, len(words), 4096):
+        codes, full = coded(words[at : at + 4096])
+        for number, decay in sequences(codes):
+            found = place[number]
+            row, column = np.nonzero(found)
+            np.add.at(out, row + at, decay * weights[found[row, column]])
+        out[at : at + 4096] *= scales(full)[:, None]
     return out
 
 
@@ -211,33 +227,41 @@ def support_vectors(z: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: floa
 
 def fit_machine(positive: list[str], negative: list[str], landmarks: list[str], cost: float) -> Machine:
     """The machine over Nystroem features of the words, folded into weights of character sequences."""
-    own = kernel(landmarks, landmarks).astype(np.float64)
+    own = kernel(landmarks, landmarks)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     good = values > 1e-4 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
     words = positive + negative
     z = kernel(words, landmarks) @ root
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-    weight = np.where(y > 0, len(y) / 2 / max(len(positive), 1), len(y) / 2 / max(len(negative), 1))
+    weight = np.where(y > 0, POSITIVE_WEIGHT, 1.0)
     w, bias = support_vectors(z, y, weight, cost)
     numbers, weights = landmark_weights(landmarks, root @ w)
     return Machine(numbers, weights.astype(np.float32), float(bias))
 
 
 def fit_logistic(score: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, with targets drawn in a little from 0 and 1."""
+    """Slope and offset of a logistic curve; both labels weigh the same, targets are drawn in a little from 0 and 1."""
     n1, n0 = label.sum(), (1 - label).sum()
     target = np.where(label > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(label > 0, 0.5 / max(n1, 1), 0.5 / max(n0, 1))
     x, w = np.column_stack([score, np.ones(len(score))]), np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (target - p))
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 1e-7 * np.eye(2), x.T @ (weight * (target - p)) - 1e-7 * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-6:
             break
     return float(w[0]), float(w[1])
 
 
+def variants(word: str) -> list[str]:
+    """The word with characters put in, as examples of its disguises."""
+    half = len(word) // 2
+    forms = (".".join(word), word[:half] + "*" + word[half:], word[: half + 1] + "x" + word[half + 1 :])
+    return [form for form in forms if len(word) > ORDER and len(form) <= PIECE]
+
+
 def sample(labelled: DataFrame, most_toxic: int, most_clean: int) -> DataFrame:
     """``id`` and ``label`` of the sampled rows, of the smallest hashes."""
     order = (F.xxhash64("id"), F.col("id"))
@@ -249,43 +273,48 @@ def sample(labelled: DataFrame, most_toxic: int, most_clean: int) -> DataFrame:
 
 def train(
     docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_toxic: int = 3000,
-    most_clean: int = 9000, n_landmarks: int = 96, n_negative: int = 8000, cost: float = 10.0,
+    most_clean: int = 9000, n_landmarks: int = 192, n_negative: int = 8000, cost: float = 20.0,
 ) -> Machine | None:
     """The machine for ``labelled`` (``id``, ``label`` 0 or 1); None without rows of both labels."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     chosen = F.broadcast(sample(labelled, most_toxic, most_clean))
     texts = stored(rows.join(chosen, "id"), "labelled-texts")
-    sentences = texts.select("id", "label", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"[.!?\n]+")).alias("no", "sentence"))
+    sentences = texts.select("id", "label", F.explode(F.split(F.lower("text"), r"[.!?\n]+")).alias("sentence"))
     tokens = stored(
-        sentences.select("id", "label", "no", F.explode(words_of(F.lower("sentence"))).alias("word"))
-        .select("id", "label", "no", F.btrim("word", F.lit(STRIP)).alias("word"))
-        .where(F.length("word").between(3, PIECE)).distinct(),
+        sentences.select("id", "label", F.xxhash64("sentence").alias("sentence"), F.explode(words_of(F.col("sentence"))).alias("word"))
+        .withColumn("word", F.btrim("word", F.lit(STRIP))).where(F.length("word").between(3, PIECE)).distinct(),
         "labelled-words",
     )
-    clean = stored(tokens.where("label = 0").select("word").distinct().join(
-        tokens.where("label = 1").select("word").distinct().withColumn("toxic", F.lit(True)), "word", "left"), "clean-words")
-    toxic = tokens.where("label = 1").select("id", "no", "word").join(clean.select("word"), "word", "left_anti")
-    common = toxic.groupBy("word").agg(F.count_distinct("id").alias("n")).where("n >= 2").select("word")
-    bags: dict[object, set[str]] = defaultdict(set)
-    for row in toxic.join(common, "word").select("id", "word").distinct().collect():  # bounded by the sample
-        bags[row["id"]].add(row["word"])
-    if not bags or not clean.take(1):
-        return None
-    counts = Counter(word for bag in bags.values() for word in bag)
+    # Sentences are counted by their text, so a word in a sentence that was copied often counts once.
+    counted = tokens.groupBy("word").agg(*[
+        F.count_distinct(F.when(F.col("label") == k, F.col("sentence"))).alias(f"n{k}") for k in (0, 1)
+    ])
+    support = stored(counted.withColumn("toxic", F.col("n0") * CLEAN_SHARE < F.col("n1")), "word-support")
+    clean = support.where("NOT toxic").select("word")
+    bags: dict[object, dict[str, int]] = defaultdict(dict)
+    marked = tokens.where("label = 1").select("id", "word").distinct().join(support.where("toxic"), "word")
+    for row in marked.select("id", "word", "n1").collect():  # bounded by the sample
+        bags[row["id"]][row["word"]] = row["n1"]
     usual = [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(n_negative).collect()]
-    witness = {max(bag, key=lambda w: (counts[w], w)) for bag in bags.values()}
+    if not bags or not usual:
+        return None
+    counts = {word: n for bag in bags.values() for word, n in bag.items()}
+    usable = max(SUPPORT, len(bags) // 100)
+    known = {w for w, n in counts.items() if n >= usable} or {max(bag, key=lambda w: (bag[w], w)) for bag in bags.values()}
+    witness = set(known)
     hard: list[str] = []
     for turn in range(3):
         positive = sorted(witness, key=lambda w: (-counts[w], w))
+        varied = [v for w in positive[:MOST_VARIED] for v in variants(w)]
         negative = sorted(set(usual) | set(hard))
-        marks = spread(positive, n_landmarks // 2) + spread(hard or usual, n_landmarks // 2)
-        machine = fit_machine(positive, negative, marks, cost)
-        scorer = Scorer(machine)
+        marks = spread(positive, n_landmarks * 2 // 3) + spread(hard or usual, n_landmarks // 3)
+        machine = fit_machine(positive + varied, negative, marks, cost)
         if turn < 2:
-            hard = sorted(set(hard) | set(hardest(clean.select("word"), machine, 2000)))
-            ranked = {w: s for w, s in zip(counts, scorer.words(list(counts)).tolist(), strict=True)}
-            witness = {max(bag, key=lambda w: (ranked[w], w)) for bag in bags.values()}
-            witness |= {w for bag in bags.values() for w in bag if ranked[w] > 0}
+            hard = sorted(set(hard) | set(hardest(clean, machine, 2000)))
+            scorer = Scorer(machine)
+            ranked = dict(zip(counts, scorer.words(list(counts)).tolist(), strict=True))
+            best = {max(bag, key=lambda w: (ranked[w], w)) for bag in bags.values()}
+            witness = known | {w for w in best if ranked[w] > 0}
     scores = score(texts.select("id", "text", "label"), machine, "id", "text", carry=("label",)).select("raw", "label").collect()
     machine.slope, machine.offset = fit_logistic(np.array([r["raw"] for r in scores]), np.array([float(r["label"]) for r in scores]))
     return machine

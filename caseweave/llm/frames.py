@@ -36,7 +36,7 @@ from caseweave.session import scratch_path, stored
 DOC_FRAME, SEEK_FRAME, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 ENTRY, DOC, ENTRY_BYTES, DOC_BYTES = "<III", "<Bq", 12, 9
 FILE_BYTES = 32 << 20
-MEMO_WORDS, MEMO_LENGTH, SLICE_ROWS = 700_000, 48, 256
+MEMO_WORDS, MEMO_LENGTH, SLICE_ROWS = 900_000, 48, 256
 
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -59,6 +59,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo = Memo(self._words, MEMO_WORDS, MEMO_LENGTH)
+        self.tokenizer.model._resize_cache(0)  # the memo holds what the library's own cache would
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:

@@ -7,23 +7,31 @@ from itertools import chain
 
 
 class Memo:
-    """Looks up many keys at once; ``compute`` gives the packed results of the distinct keys not yet known."""
+    """Looks up many keys at once; ``compute`` gives the packed results of the distinct keys not yet known.
+
+    Two generations of up to about ``entries`` keys are kept: when the younger is full the elder goes, and what is
+    found in the elder moves to the younger. So frequent keys stay and memory is bounded.
+    """
 
     def __init__(self, compute: Callable[[list], Iterable[bytes]], entries: int, length: int):
         self.compute, self.entries, self.length = compute, entries, length
         self.known: dict[Hashable, bytes] = {}
+        self.elder: dict[Hashable, bytes] = {}
 
     def joined(self, rows: list[list]) -> list[bytes]:
         """For each row of keys the joined results. Only keys up to ``length`` stay known."""
         if len(self.known) > self.entries:
-            self.known.clear()
+            self.known, self.elder = {}, self.known
         flat = list(chain.from_iterable(rows))
         found = list(map(self.known.get, flat))
         holes, at = [], -1
         for _ in range(found.count(None)):
             holes.append(at := found.index(None, at + 1))
-        fresh = list({flat[i] for i in holes})
-        new = dict(zip(fresh, self.compute(fresh), strict=True)) if fresh else {}
+        unknown = {flat[i] for i in holes}
+        new = {key: self.elder[key] for key in unknown & self.elder.keys()}
+        fresh = list(unknown - new.keys())
+        if fresh:
+            new.update(zip(fresh, self.compute(fresh), strict=True))
         for i in holes:
             found[i] = new[flat[i]]
         self.known.update((key, value) for key, value in new.items() if len(key) <= self.length)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseweave.llm import byte_bpe, chunks, frames, licences, line_quality, mixing, toxicity, warc
+from caseweave.llm import byte_bpe, chunks, frames, hamming, licences, line_quality, mixing, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -125,6 +125,11 @@ def op5_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "start", "stop", "n_words", "first_doc_id", lost.alias("lost_bytes"))
 
 
+def op6_hamming(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of all vectors for every twentieth."""
+    return hamming.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents; a third of the ids is held out of training."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -161,5 +166,5 @@ def byte_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {"op7_toxicity": op7_toxicity, "op5_chunks": op5_chunks, "op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op6_hamming": op6_hamming, "op7_toxicity": op7_toxicity, "op5_chunks": op5_chunks, "op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
 SQL: dict[str, str] = {"op2_licences": OP2, "op4_warc": OP4, "op3_line_quality": OP3}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseweave.llm import byte_bpe, chunks, frames, hamming, licences, line_quality, mixing, toxicity, warc
+from caseweave.llm import byte_bpe, chunks, frames, hamming, licences, line_quality, mixing, signature_trees, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -166,5 +166,10 @@ def byte_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {"op6_hamming": op6_hamming, "op7_toxicity": op7_toxicity, "op5_chunks": op5_chunks, "op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
+def op9_signature_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return signature_trees.join(table(spark, folder, "documents"), n=4, percent=85)
+
+
+QUERIES = {"op9_signature_trees": op9_signature_trees, "op6_hamming": op6_hamming, "op7_toxicity": op7_toxicity, "op5_chunks": op5_chunks, "op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
 SQL: dict[str, str] = {"op2_licences": OP2, "op4_warc": OP4, "op3_line_quality": OP3}

@@ -37,6 +37,7 @@ from caseweave.session import stored
 REACH, MOST, PAD = 16, 512, 64
 NO_ID = (1 << 63) - 1
 MIN_WORDS = 22
+BROADCAST_ROWS = 100_000
 CHUNKED = "doc_id long, text_digest binary, digests array<long>, sizes array<int>, words array<int>"
 
 
@@ -205,6 +206,7 @@ def deduplicated(
         ).select(F.col("doc_id").alias("_id"), F.col("text_digest").alias("_digest"), "_lost"),
         "lost-passages",
     )
+    lost = F.broadcast(lost) if lost.count() <= BROADCAST_ROWS else lost
     rows = docs.select(
         F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_own"), F.col(text_col).alias("_text"),
         F.unhex(F.sha2(F.col(text_col), 256)).alias("_sha"),

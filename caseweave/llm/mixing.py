@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from caseweave.llm.line_quality import words
 from caseweave.session import stored
 
+BROADCAST_ROWS = 500_000
+
 
 def sample_labelled(labelled: DataFrame, most: int) -> DataFrame:
     """At most ``most`` labelled ids, those of the smallest hashes: a bounded sample to fit the classifier on."""
@@ -162,8 +164,13 @@ def copies(id_col: Column, rate_col: Column) -> Column:
 
 def mix(docs: DataFrame, rated: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Each row of ``docs`` as often as its document's rate says, with the columns of the input."""
-    taken = rated.select(F.col("id").alias("_id"), copies(F.col("id"), F.col("rate")).alias("_copies")).where("_copies > 0")
+    # Only documents that are not taken just once are looked up.
+    other = stored(
+        rated.select(F.col("id").alias("_id"), copies(F.col("id"), F.col("rate")).alias("_copies")).where("_copies <> 1"), "copies"
+    )
+    other = F.broadcast(other) if other.count() <= BROADCAST_ROWS else other
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_own"))
-    return rows.join(taken, F.col("_own").eqNullSafe(F.col("_id"))).select(
-        "_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    times = F.coalesce("_copies", F.lit(1))
+    return rows.join(other, F.col("_own").eqNullSafe(F.col("_id")), "left").where(times > 0).select(
+        "_row", F.explode(F.sequence(F.lit(1), times)).alias("_time")
     ).select("_row.*")

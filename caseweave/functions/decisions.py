@@ -11,12 +11,19 @@ from caseweave.functions import lexicon, text as tx
 RuleTable = Sequence[tuple[str, bool, Sequence[str]]]
 
 
+# Word edges as the rules mean them: between a letter, digit or underscore and anything else. Java's own edge counts
+# combining marks, joiners and variation selectors as word characters, so a word beside an emoji would have none.
+AHEAD, BEHIND = rf"(?![{tx.WORD}])", rf"(?<![{tx.WORD}])"
+EDGE = rf"(?:{BEHIND}(?=[{tx.WORD}])|(?<=[{tx.WORD}]){AHEAD})"
+
+
 def any_pattern(patterns: Sequence[str]) -> str:
-    """One Unicode-aware pattern for all; a word edge that opens every pattern is tested once per position."""
+    """One Unicode-aware pattern for all; edges around every pattern are tested once per position."""
     edge = r"\b"
-    if all(p.startswith(edge) for p in patterns):
-        return "(?U)" + edge + "(?:" + "|".join(p.removeprefix(edge) for p in patterns) + ")"
-    return "(?U)" + "|".join(patterns)
+    if all(p.startswith(edge) and p.endswith(edge) for p in patterns):
+        inner = "|".join(p.removeprefix(edge).removesuffix(edge) for p in patterns)
+        return BEHIND + "(?:" + inner.replace(edge, EDGE) + ")" + AHEAD
+    return "|".join(p.replace(edge, EDGE) for p in patterns)
 
 
 def rule_intent(text: Column, rules: RuleTable = lexicon.INTENT_RULES) -> Column:

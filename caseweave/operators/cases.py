@@ -81,6 +81,17 @@ def unique_cases(cases: DataFrame) -> DataFrame:
     return unique_texts(cases, "case_text", "support_tweet_id")
 
 
+def answerable(cases: DataFrame, question: str = "customer_text", reply: str = "support_text", id_column: str = "support_tweet_id") -> DataFrame:
+    """The cases that retrieval may cite: with a question and a reply, one per question text; the smallest id survives.
+
+    Equal questions are found by a digest, so a frequent question shuffles no text.
+    """
+    usable = drop_blank(drop_blank(cases, question), reply)
+    key = F.sha2(F.col(question), 256)
+    first = usable.groupBy(key.alias("_question")).agg(F.min(id_column).alias(id_column)).select(id_column)
+    return usable.join(first, id_column, "left_semi")
+
+
 def without_ids(corpus: DataFrame, golden: DataFrame, id_column: str = "tweet_id") -> DataFrame:
     """Remove evaluation rows from the corpus by id."""
     return corpus.join(golden.select(id_column), id_column, "left_anti")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from caseweave.functions import lexicon
 from caseweave.functions.decisions import keyword_compatibility
 from caseweave.operators import tfidf
+from caseweave.operators.cases import answerable
 from caseweave.operators.similarity import top_k
 
 Keywords = Mapping[str, Sequence[str]]
@@ -25,8 +26,13 @@ def prepare_cases(
     keywords: Keywords = lexicon.INTENT_KEYWORDS,
     id_column: str = "support_tweet_id",
     text: str = "customer_text",
+    reply: str = "support_text",
 ) -> DataFrame:
-    """Cases as (case_id, indices, weights, compatibility): unit vector and one keyword score per intent."""
+    """Cases as (case_id, indices, weights, compatibility): unit vector and one keyword score per intent.
+
+    Only cases with a reply count, one per question text.
+    """
+    cases = answerable(cases, text, reply, id_column)
     scores = F.array(*[keyword_compatibility(F.col(text), intent, keywords) for intent in keywords])
     scored = cases.select(
         F.col(id_column).alias("id"), F.col(text).alias("text"), scores.cast("array<double>").alias("compatibility")

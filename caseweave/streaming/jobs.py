@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from caseweave.functions.text import safe_ratio
-from caseweave.operators.sampling import first_n_per_group
 
 
 def start_triage(
@@ -28,34 +27,55 @@ def start_triage(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def author_activity(
-    events: DataFrame, author: str = "user_id", time: str = "ts", event_id: str = "event_id", lateness: str = "1 day",
-) -> DataFrame:
-    """Running counts per author; copies of an event within ``lateness`` are counted once.
-
-    The watermark lets the state of old event ids go, and the counts themselves are one row per author.
-    """
-    unique = events.withWatermark(time, lateness).dropDuplicatesWithinWatermark([event_id])
-    counted = unique.where(F.col(author).isNotNull()).groupBy(author).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_if(F.col("event_type") == "error").alias("errors"),
-        F.sum("value").alias("total_value"),
-    )
-    return counted.withColumn("error_rate", safe_ratio(F.col("errors"), F.col("events")))
+ID_BUCKETS = 64
 
 
 def start_audit(
-    activity: DataFrame, target: str, checkpoint: str, available_now: bool = False
+    events: DataFrame, target: str, checkpoint: str, author: str = "user_id", event_id: str | None = None,
+    available_now: bool = False,
 ) -> StreamingQuery:
-    """Write the authors whose counts changed in a batch to the batch's own folder below ``target``."""
+    """Write each batch's counts per author below ``target``; :func:`author_activity` adds them up.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+    Every event counts, whatever its time. With ``event_id`` an event counts once, however late a copy comes: the ids
+    of each batch are kept below ``target`` in buckets, and a batch drops the ids that an earlier batch has written. A
+    null id is no copy of another. A batch that is repeated after a failure looks at earlier batches only and
+    overwrites its own folders, so it gives the same counts again.
+    """
+    spark = events.sparkSession
+    counts_at, ids_at = f"{target}/counts", f"{target}/ids"
+    _counted(spark.createDataFrame([], events.schema), author).write.mode("ignore").parquet(f"{counts_at}/batch=-1")
+    if event_id:
+        ids = spark.createDataFrame([], events.schema).select(event_id)
+        ids.write.mode("ignore").parquet(f"{ids_at}/batch=-1/bucket=0")
 
-    writer = activity.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if event_id:
+            bucket = F.pmod(F.xxhash64(event_id), F.lit(ID_BUCKETS)).cast("int")
+            named = batch.where(F.col(event_id).isNotNull()).dropDuplicates([event_id]).withColumn("bucket", bucket)
+            schema = named.select(event_id).schema.add("batch", "long").add("bucket", "integer")
+            seen = session.read.schema(schema).parquet(ids_at).where(F.col("batch") < batch_id)
+            fresh = named.join(seen.select(event_id, "bucket"), [event_id, "bucket"], "left_anti")
+            own = f"{ids_at}/batch={batch_id}"
+            fresh.select(event_id, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(own)
+            batch = fresh.select(*batch.columns).unionByName(batch.where(F.col(event_id).isNull()))
+        _counted(batch, author).write.mode("overwrite").parquet(f"{counts_at}/batch={batch_id}")
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def newest_per_author(table: DataFrame, author: str = "user_id") -> DataFrame:
-    """The current audit: each author's row from the latest batch folder that holds one."""
-    return first_n_per_group(table, [author], [F.desc("batch")], 1).drop("batch")
+def _counted(events: DataFrame, author: str) -> DataFrame:
+    return events.where(F.col(author).isNotNull()).groupBy(author).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("event_type") == "error").alias("errors"),
+        F.sum(F.col("value").cast("double")).alias("total_value"),
+    )
+
+
+def author_activity(spark: SparkSession, target: str, author: str = "user_id") -> DataFrame:
+    """The current audit: the sums of all batches' counts."""
+    summed = spark.read.parquet(f"{target}/counts").groupBy(author).agg(
+        *[F.sum(c).alias(c) for c in ("events", "errors", "total_value")]
+    )
+    return summed.withColumn("error_rate", safe_ratio(F.col("errors"), F.col("events")))

@@ -157,7 +157,7 @@ def rule_case(text: str, rules) -> str:
     for intent, enabled, patterns in rules:
         if enabled:
             inner = "|".join(p.removeprefix(r"\b").removesuffix(r"\b") for p in patterns).replace("'", "''")
-            edge = r"[^\p{L}\p{N}\p{M}_]"
+            edge = r"[^\p{L}\p{N}_]"
             arms.append(f"WHEN regexp_matches(lower(coalesce({text}, '')), '(^|{edge})({inner})($|{edge})') THEN '{intent}'")
     return "CASE " + " ".join(arms) + " END"
 

@@ -18,6 +18,15 @@ from caseweave.operators import classify
     ("upgrade to premium", None),
     ("my car's app", "DEVICE_PLATFORM"),
     ("shacked", None),
+    ("\u2764\ufe0fhacked again", "ACCOUNT_SECURITY"),
+    ("\u26a0\ufe0fbug here", "APP_TECHNICAL"),
+    ("refund\ufe0f", "BILLING_PAYMENT"),
+    ("refund\u200b", "BILLING_PAYMENT"),
+    ("a\u200drefund", "BILLING_PAYMENT"),
+    ("refund\u0301", "BILLING_PAYMENT"),
+    ("\u00e9refund", None),
+    ("refund_", None),
+    ("refund\u0663", None),
     (None, None),
 ])
 def test_rules(spark, text, intent):

@@ -138,17 +138,28 @@ def test_top_k_equals_brute_force_for_any_block_size(spark, monkeypatch, entries
 
 
 def test_intent_aware_retrieval_equals_brute_force(spark):
-    cases, queries = _texts(40, 7), _texts(12, 8) + ["nothing here", ""]
+    cases, queries = [t for t in dict.fromkeys(_texts(40, 7)) if t], _texts(12, 8) + ["nothing here", ""]
     intents = ["APP_TECHNICAL", "ACCOUNT_LOGIN", "OTHER", None, "PLAYLIST_LIBRARY", "NO_SUCH_INTENT", "BILLING_PAYMENT"] * 2
     model = tfidf.fit(_docs(spark, cases))
     query_table = spark.createDataFrame(
         [(i, q, t) for i, (q, t) in enumerate(zip(queries, intents))], "query_id long, query string, intent string"
     )
     corpus = _docs(spark, cases).withColumnsRenamed({"id": "support_tweet_id", "text": "customer_text"})
+    corpus = corpus.withColumn("support_text", F.lit("a reply"))
     ranked = retrieval.retrieve(query_table, corpus, model, 4)
     assert _collect(ranked, "combined_score") == _expected_top(queries, cases, _brute_fit(cases), 4, intents)
 
 
+def test_retrieval_cites_answered_cases_of_distinct_questions(spark):
+    rows = [(1, "app crash", ""), (2, "app crash", "restart"), (3, "app crash", "reinstall"), (4, "app crash login", None),
+            (5, "login app", "reset"), (6, " ", "hello"), (7, None, "hello")]
+    corpus = spark.createDataFrame(rows, "support_tweet_id long, customer_text string, support_text string")
+    model = tfidf.fit(tfidf.document_text(corpus, "support_tweet_id", "customer_text"), tfidf.TfidfParams(max_df=1.0))
+    query_table = spark.createDataFrame([(1, "app crash", None)], "query_id long, query string, intent string")
+    ranked = retrieval.retrieve(query_table, corpus, model, 3)
+    assert [r["case_id"] for r in ranked.orderBy("rank").collect()] == [2, 5]
+
+
 def test_fewer_cases_than_k(spark):
     cases = ["app crash", "app crash login", "login app"]
     model = tfidf.fit(_docs(spark, cases), tfidf.TfidfParams(max_df=1.0))

@@ -30,19 +30,24 @@ def test_stream_triage_equals_batch(spark, tmp_path):
     assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, batch.select(*columns).collect()))
 
 
-def test_stream_audit_counts_copies_once(spark, tmp_path):
+def test_stream_audit_counts_every_event_once_in_any_order(spark, tmp_path):
     source, target, log = (str(tmp_path / n) for n in ("in", "out", "log"))
     schema = "event_id long, ts timestamp, user_id long, event_type string, value double"
-    base = "2024-01-01 00:00:0"
     parts = [
-        [(1, f"{base}1", 7, "error", 1.0), (2, f"{base}2", 7, "view", 2.0), (3, f"{base}3", 8, "view", 4.0)],
-        [(2, f"{base}2", 7, "view", 2.0), (4, f"{base}4", 7, "view", 8.0), (5, f"{base}5", None, "view", 1.0)],
+        [(1, "2024-01-10", 7, "error", 1.0), (2, "2024-01-10", 7, "view", 2.0), (3, "2024-01-10", 8, "view", 4.0)],
+        [(2, "2024-01-10", 7, "view", 2.0), (4, "2024-01-10", 7, "view", 8.0), (5, "2024-01-10", None, "view", 1.0)],
+        [(6, "2024-01-02", 7, "view", 16.0), (7, "2023-01-02", 9, "error", 1.0), (1, "2024-01-10", 7, "error", 1.0),
+         (None, "2024-01-02", 9, "view", 1.0), (None, "2024-01-02", 9, "view", 1.0), (7, "2023-01-02", 9, "error", 1.0)],
     ]
-    for rows in parts:
-        df = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
-        df.withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(source)
-        activity = jobs.author_activity(spark.readStream.schema(schema).parquet(source))
-        jobs.start_audit(activity, target, log, True).awaitTermination()
-    current = jobs.newest_per_author(spark.read.parquet(target))
-    rows = {r["user_id"]: (r["events"], r["errors"], r["total_value"]) for r in current.collect()}
-    assert rows == {7: (3, 1, 11.0), 8: (1, 0, 4.0)}
+    for event_id, expected in (
+        ("event_id", {7: (4, 1, 27.0), 8: (1, 0, 4.0), 9: (3, 1, 3.0)}), (None, {7: (6, 2, 30.0), 8: (1, 0, 4.0), 9: (4, 2, 4.0)}),
+    ):
+        own = f"{event_id}"
+        for rows in parts:
+            df = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
+            df.withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(source + own)
+            stream = spark.readStream.schema(schema).parquet(source + own)
+            jobs.start_audit(stream, target + own, log + own, event_id=event_id, available_now=True).awaitTermination()
+        current = jobs.author_activity(spark, target + own)
+        rows = {r["user_id"]: (r["events"], r["errors"], r["total_value"]) for r in current.collect()}
+        assert rows == expected

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 from caseweave.functions import lexicon
+from caseweave.schema import to_long_id
 
 # Unicode whitespace and word characters, spelled out so that the JVM's ASCII defaults do not apply.
 SPACE = r"\t-\r\x1c-\x1f\x85\p{Z}"
@@ -107,8 +108,8 @@ def speaker_of(inbound: Column, customer: str = "customer", support: str = "supp
 
 
 def split_ids(value: Column) -> Column:
-    """``"3, 4,x"`` to ``[3, 4]``: blanks and non-integers are dropped."""
-    parts = F.transform(F.split(F.coalesce(value, F.lit("")), ","), lambda part: F.trim(part).try_cast("bigint"))
+    """``"3, 4.0,x"`` to ``[3, 4]``: blanks and non-integers are dropped."""
+    parts = F.transform(F.split(F.coalesce(value, F.lit("")), ","), to_long_id)
     return F.filter(parts, lambda part: part.isNotNull())
 
 

@@ -14,14 +14,15 @@ from caseweave.operators import blocks, tfidf
 from caseweave.operators.sampling import sample_per_group, sample_rows
 from caseweave.session import cut_lineage
 
-SILHOUETTE_ROWS = 1_000
+SILHOUETTE_ROWS, ITERATIONS = 1_000, 300
 
 
 def fit_kmeans(features: DataFrame, k: int, seed: int = 42, restarts: int = 10, parallel: int = 4) -> KMeansModel:
     """The k-means model with the lowest cost of ``restarts`` seeded runs; runs overlap on the cluster."""
 
     def run(number: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + number, featuresCol="features", predictionCol="cluster").fit(features)
+        means = KMeans(k=k, seed=seed + number, maxIter=ITERATIONS, featuresCol="features", predictionCol="cluster")
+        return means.fit(features)
 
     with ThreadPoolExecutor(parallel) as pool:
         return min(pool.map(run, range(restarts)), key=lambda model: model.summary.trainingCost)
@@ -46,15 +47,15 @@ class Clustering:
 
 def discover(
     vectors: DataFrame, size: int, ks: Sequence[int] = range(6, 13), seed: int = 42, restarts: int = 10,
+    silhouette_rows: int = SILHOUETTE_ROWS,
 ) -> Clustering:
     """Cluster (id, indices, weights) for each k and keep the k with the highest silhouette, the smallest on ties.
 
-    The silhouette is measured on at most 1,000 sampled rows, which bounds its pairwise distances.
+    The silhouette is measured on at most ``silhouette_rows`` sampled rows, which bounds its pairwise distances.
     """
     features = cut_lineage(tfidf.to_ml_vectors(vectors, size))
-    features.cache()
     models = {k: fit_kmeans(features.select("features"), k, seed, restarts) for k in ks}
-    sampled = cut_lineage(sample_rows(features, "id", SILHOUETTE_ROWS, seed))
+    sampled = cut_lineage(sample_rows(features, "id", silhouette_rows, seed))
     measured = None
     for k, model in models.items():
         part = model.transform(sampled).select(F.lit(k).alias("k"), "id", "indices", "weights", "cluster")

@@ -246,11 +246,10 @@ def _(spark, folder):
     return pages.select("page_id", tx.clean_text(F.col("html")).alias("clean_text"))
 
 
-@register("f1_clean_documents", f"""SELECT doc_id, {sql.clean('text')} AS clean_text FROM documents
-WHERE NOT {sql.blank('text')}""")
+@register("f1_clean_documents", f"SELECT doc_id, {sql.clean('text')} AS clean_text FROM documents")
 def _(spark, folder):
-    docs = drop_blank(table(spark, folder, "documents", text_work=True), "text")
-    return docs.select("doc_id", tx.clean_text(F.col("text"), full_entities=False).alias("clean_text"))
+    docs = table(spark, folder, "documents", text_work=True)
+    return docs.select("doc_id", tx.clean_text(F.col("text")).alias("clean_text"))
 
 
 @register("f5_normalize", f"SELECT doc_id, {sql.normalize('text')} AS normalized FROM documents")

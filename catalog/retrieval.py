@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from caseweave.functions import decisions, judging, lexicon, text as tx
 from caseweave.operators import cases as case_ops, classify, clusters, metrics, retrieval, sampling, similarity, tfidf
@@ -120,14 +120,14 @@ def _(spark, folder):
     return _rounded(similarity.similarity_statistics(ranked, _THRESHOLDS), "value")
 
 
-_ENGLISH = "english AS (SELECT doc_id AS id, text FROM documents WHERE lang = 'en')"
+_ALL_TEXTS = "all_texts AS (SELECT doc_id AS id, text FROM documents)"
 
 
-@register("m5_keywords", f"""WITH {_ENGLISH}, {sql.grams('g', 'english', STOP_WORDS)},
-{sql.vocabulary('g', 'english', 3, 0.9, 5000)}, {sql.weights('w', 'g')}
+@register("m5_keywords", f"""WITH {_ALL_TEXTS}, {sql.grams('g', 'all_texts', STOP_WORDS)},
+{sql.vocabulary('g', 'all_texts', 3, 0.9, 5000)}, {sql.weights('w', 'g')}
 SELECT term, round(sum(w) / (SELECT n FROM corpus_size), 6) AS tfidf_score FROM w GROUP BY term""")
 def _(spark, folder):
-    docs = table(spark, folder, "documents", text_work=True).where("lang = 'en'")
+    docs = table(spark, folder, "documents", text_work=True)
     params = tfidf.TfidfParams(**tfidf.DISCOVERY, stop_words=STOP_WORDS)
     model, vectors = tfidf.fit_transform(tfidf.document_text(docs, "doc_id", "text"), params)
     return _rounded(tfidf.keyword_scores(vectors, model), "tfidf_score")
@@ -172,11 +172,11 @@ def _(spark, folder):
 
 @register("e2_message_corpus", f"""WITH {sql.MESSAGES}, {_GOLDEN}
 SELECT min(tweet_id) AS tweet_id, clean_text FROM (
-  SELECT tweet_id, {sql.clean('text', entities=False)} AS clean_text FROM messages
+  SELECT tweet_id, {sql.clean('text')} AS clean_text FROM messages
   WHERE inbound AND tweet_id NOT IN (SELECT tweet_id FROM golden)) WHERE NOT {sql.blank('clean_text')}
 GROUP BY clean_text""")
 def _(spark, folder):
-    clean = messages(spark, folder).withColumn("clean_text", tx.clean_text(F.col("text"), full_entities=False))
+    clean = messages(spark, folder).withColumn("clean_text", tx.clean_text(F.col("text")))
     corpus = case_ops.message_corpus(clean, _golden(spark, folder))
     return corpus.select("tweet_id", "clean_text")
 
@@ -602,21 +602,18 @@ def _labelled_documents(spark, folder):
 @register("m10_predict")
 def _(spark, folder):
     """Fit on the labelled documents and classify all documents: rules first, the model for the rest."""
-    model = classify.fit(_labelled_documents(spark, folder), max_iter=100)
+    model = classify.fit(_labelled_documents(spark, folder))
     docs = tfidf.document_text(table(spark, folder, "documents", text_work=True), "doc_id", "text")
     return _rounded(classify.classify(docs, model), "confidence")
 
 
 @register("m15_cross_validate")
 def _(spark, folder):
-    return classify.cross_validate(_labelled_documents(spark, folder), folds=2, max_iter=50)
-
-
-CLUSTERS = 11
+    return classify.cross_validate(_labelled_documents(spark, folder))
 
 
 def _discovery(spark, folder):
-    docs = table(spark, folder, "documents").where("lang = 'en'").select("doc_id", "text")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     sample = sampling.sample_rows(unique_texts(drop_blank(docs, "text"), "text", "doc_id"), "doc_id", 500)
     params = tfidf.TfidfParams(**tfidf.DISCOVERY, stop_words=STOP_WORDS)
     texts = cut_lineage(tfidf.document_text(sample, "doc_id", "text"))
@@ -633,17 +630,71 @@ def _(spark, folder):
 @register("m8_cluster_terms")
 def _(spark, folder):
     _, model, vectors = _discovery(spark, folder)
-    found = clusters.discover(vectors, model.size, (CLUSTERS,))
+    found = clusters.discover(vectors, model.size)
     return clusters.cluster_terms(vectors, model, found.assigned)
 
 
 @register("m9_representatives")
 def _(spark, folder):
     texts, model, vectors = _discovery(spark, folder)
-    found = clusters.discover(vectors, model.size, (CLUSTERS,))
+    found = clusters.discover(vectors, model.size)
     return clusters.representatives(texts.join(found.assigned, "id"), "id").select("cluster", "id", "text")
 
 
+# The parts that follow an assignment, with the documents' sources as clusters.
+_BY_SOURCE = f"""WITH all_texts AS (SELECT doc_id AS id, text, source AS cluster FROM documents WHERE source IS NOT NULL),
+{sql.grams('g', 'all_texts', STOP_WORDS)}, {sql.vocabulary('g', 'all_texts', 3, 0.9, 5000)}, {sql.weights('w', 'g')}"""
+
+
+def _by_source(spark, folder):
+    docs = table(spark, folder, "documents", text_work=True).where("source IS NOT NULL")
+    params = tfidf.TfidfParams(**tfidf.DISCOVERY, stop_words=STOP_WORDS)
+    model, vectors = tfidf.fit_transform(tfidf.document_text(docs, "doc_id", "text"), params)
+    return model, cut_lineage(vectors), docs.select(F.col("doc_id").alias("id"), F.col("source").alias("cluster"))
+
+
+@register("m8_source_terms", f"""{_BY_SOURCE},
+sizes AS (SELECT cluster, count(*) AS size FROM all_texts GROUP BY cluster),
+means AS (SELECT cluster, term, sum(w) / any_value(size) AS weight FROM w JOIN all_texts USING (id) JOIN sizes USING (cluster)
+  GROUP BY cluster, term)
+SELECT cluster, size, rank, term, round(weight, 6) AS weight FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(weight, 9) DESC, term) AS rank FROM means)
+JOIN sizes USING (cluster) WHERE rank <= 10""")
+def _(spark, folder):
+    model, vectors, assigned = _by_source(spark, folder)
+    terms = clusters.cluster_terms(vectors, model, assigned)
+    return _rounded(terms.withColumn("rank", F.col("rank").cast("bigint")), "weight")
+
+
+@register("m9_source_representatives", f"""SELECT source AS cluster, doc_id, text FROM documents
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY {sql.seeded(42, 'doc_id')}, doc_id) <= 10""")
+def _(spark, folder):
+    docs = table(spark, folder, "documents").select(F.col("source").alias("cluster"), "doc_id", "text")
+    return clusters.representatives(docs, "doc_id")
+
+
+@register("m7_source_silhouette", f"""{_BY_SOURCE},
+picked AS (SELECT id, cluster FROM all_texts ORDER BY {sql.seeded(42, 'id')}, id LIMIT 150),
+dots AS (SELECT a.id AS a, b.id AS b, sum(a.w * b.w) AS dot FROM w a JOIN w b USING (term)
+  WHERE a.id IN (SELECT id FROM picked) AND b.id IN (SELECT id FROM picked) GROUP BY a.id, b.id),
+norms AS (SELECT id, sum(w * w) AS n FROM w GROUP BY id),
+apart AS (SELECT x.id AS a, x.cluster AS own, y.cluster AS other, y.id AS b,
+  sqrt(greatest(coalesce(nx.n, 0) + coalesce(ny.n, 0) - 2 * coalesce(dot, 0), 0)) AS d
+  FROM picked x JOIN picked y ON x.id <> y.id LEFT JOIN dots ON dots.a = x.id AND dots.b = y.id
+  LEFT JOIN norms nx ON nx.id = x.id LEFT JOIN norms ny ON ny.id = y.id),
+means AS (SELECT a, own, other, avg(d) AS d FROM apart GROUP BY a, own, other),
+sides AS (SELECT a, max(d) FILTER (own = other) AS inner_d, min(d) FILTER (own <> other) AS outer_d FROM means GROUP BY a)
+SELECT CAST(1 AS INTEGER) AS k, round(avg(CASE WHEN inner_d IS NULL THEN 0
+  ELSE (outer_d - inner_d) / greatest(inner_d, outer_d) END), 6) AS silhouette_score FROM sides""")
+def _(spark, folder):
+    _, vectors, assigned = _by_source(spark, folder)
+    picked = sampling.sample_rows(assigned, "id", 150)
+    number = F.dense_rank().over(Window.orderBy("cluster"))  # of at most 150 rows
+    rows = picked.withColumn("number", number).join(vectors, "id")
+    return _rounded(clusters.silhouette(rows.select(
+        F.lit(1).alias("k"), "id", "indices", "weights", F.col("number").alias("cluster"))), "silhouette_score")
+
+
 # --- streams ----------------------------------------------------------------------------------------------------
 
 

@@ -14,7 +14,6 @@ from catalog import dialect as sql
 
 QUERIES, SQL = {}, {}
 BRANDS = [f"brand{i}" for i in range(6)]
-PER_BRAND = 200
 FIRST_PER_BRAND = 100
 
 
@@ -130,7 +129,7 @@ def _(spark, folder):
 
 
 _CLEAN = f"""clean AS (
-  SELECT *, coalesce(text, '') AS raw_text, {sql.clean('text', entities=False)} AS clean_text FROM messages)"""
+  SELECT *, coalesce(text, '') AS raw_text, {sql.clean('text')} AS clean_text FROM messages)"""
 _SAMPLE = f"""{_CLEAN},
 customers AS (
   SELECT * FROM clean WHERE coalesce(inbound, false) AND NOT {sql.blank('clean_text')}
@@ -141,8 +140,7 @@ discovery AS (
 
 
 def _clean(spark, folder):
-    # The supplied turns hold no entities, so the JVM-side decoder is enough here.
-    return preparation.clean_messages(messages(spark, folder, children=True), full_entities=False)[0]
+    return preparation.clean_messages(messages(spark, folder, children=True))[0]
 
 
 @register("e16_clean_messages", f"""WITH {sql.MESSAGES}, {_CLEAN}
@@ -169,15 +167,13 @@ def _(spark, folder):
 
 
 _PICKED = f"""picked AS (
-  SELECT author_id AS brand, tweet_id AS support_tweet_id FROM messages WHERE NOT inbound
-  QUALIFY row_number() OVER (
-    PARTITION BY author_id ORDER BY {sql.seeded(42, 'tweet_id')}, tweet_id) <= {PER_BRAND})"""
+  SELECT author_id AS brand, tweet_id AS support_tweet_id FROM messages WHERE NOT inbound)"""
 
 
 def _picked(spark, folder):
-    replies = support_of(messages(spark, folder), BRANDS).select("author_id", "tweet_id")
-    sample = sampling.sample_per_group(replies, ["author_id"], "tweet_id", PER_BRAND)
-    return sample.select(F.col("author_id").alias("brand"), F.col("tweet_id").alias("support_tweet_id"))
+    """Every support message."""
+    replies = support_of(messages(spark, folder), BRANDS)
+    return replies.select(F.col("author_id").alias("brand"), F.col("tweet_id").alias("support_tweet_id"))
 
 
 @register("j8_neighbours", f"""WITH {sql.MESSAGES}, {_PICKED},
@@ -243,7 +239,7 @@ SELECT t.tweet_id, m.clean_text, coalesce(string_agg(line, chr(10) ORDER BY l.tw
 FROM targets t JOIN clean m USING (tweet_id) LEFT JOIN lines l ON l.target = t.tweet_id
 GROUP BY t.tweet_id, m.clean_text""")
 def _(spark, folder):
-    clean = preparation.with_clean_text(messages(spark, folder, children=True), full_entities=False)
+    clean = preparation.with_clean_text(messages(spark, folder, children=True))
     targets = customers_of(clean).select("tweet_id", "clean_text")
     windows = threads.context_windows(clean, targets, 10, support_label="BRAND")
     return place_after(targets.join(windows, "tweet_id"), "conversation_context", "clean_text")

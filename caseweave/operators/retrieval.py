@@ -48,10 +48,13 @@ def retrieve(
     keywords: Keywords = lexicon.INTENT_KEYWORDS,
     id_column: str = "support_tweet_id",
     text: str = "customer_text",
+    prepared: DataFrame | None = None,
 ) -> DataFrame:
     """The ``k`` best cases per query by .75 * similarity + .25 * compatibility with the query's intent.
 
     ``queries`` is (query_id, query, intent); a null intent counts no keywords. Ties go to the smaller case id.
+    ``prepared`` is a stored result of :func:`prepare_cases` for the same model and keywords; with it no case is
+    vectorised anew, which is what a stream or a service wants.
     """
     intents = list(keywords)
     indexed = queries.select(
@@ -60,7 +63,7 @@ def retrieve(
     )
     return top_k(
         tfidf.transform(indexed, model, ["intent_index"]).withColumnRenamed("id", "query_id"),
-        prepare_cases(cases, model, keywords, id_column, text),
+        prepare_cases(cases, model, keywords, id_column, text) if prepared is None else prepared,
         k,
         lexicon.SIMILARITY_WEIGHT,
         lexicon.COMPATIBILITY_WEIGHT,

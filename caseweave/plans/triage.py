@@ -65,12 +65,13 @@ def triage(
     rules: RuleTable = lexicon.INTENT_RULES,
     keywords: Keywords = lexicon.INTENT_KEYWORDS,
     case_texts: bool = True,
+    prepared: DataFrame | None = None,
 ) -> DataFrame:
     """(query_id, query) to one result row each: intent, evidence scores, action, reason, reply and cases."""
     named = messages.select(F.col("query_id").alias("id"), F.col("query").alias("text"))
     classes = classify(named, intent_model, rules, with_text=True)
     classified = cut_lineage(classes.withColumnsRenamed({"id": "query_id", "text": "query"}))
-    ranked = cut_lineage(retrieve(classified, cases, text_model, top_k, keywords))
+    ranked = cut_lineage(retrieve(classified, cases, text_model, top_k, keywords, prepared=prepared))
     return decide(classified, ranked, cases, case_texts)
 
 

@@ -326,6 +326,19 @@ def _(spark, folder):
     ])
 
 
+_SHIPPED = lexicon.INTENT_KEYWORDS
+
+
+@register("f19_shipped_keywords", "SELECT doc_id, " + ", ".join(
+    f"round({sql.compatibility_case(sql.quoted(i), 'text', _SHIPPED)}, 6) AS {i.lower()}" for i in _SHIPPED
+) + " FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)")
+def _(spark, folder):
+    docs = table(spark, folder, "documents", text_work=True)
+    return docs.select("doc_id", *[
+        F.round(decisions.keyword_compatibility(F.col("text"), i), 6).alias(i.lower()) for i in _SHIPPED
+    ])
+
+
 @register("p12_frequent_classes", """WITH classed AS (
   SELECT doc_id, coalesce(source, '') || '/' || lang AS class FROM documents),
 sizes AS (SELECT class, count(*) AS n FROM classed GROUP BY class)

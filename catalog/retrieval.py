@@ -708,11 +708,13 @@ def _stream(spark, folder, name):
 def _(spark, folder):
     cases = _cases(spark, folder)
     model = _case_model(cases)
+    prepared = cut_lineage(retrieval.prepare_cases(cases, model, KEYWORDS))  # once, for all batches
     stream = _stream(spark, folder, "conversations").where("role = 'user'")
     arriving = stream.select(_turn_ids().alias("query_id"), tx.normalize(F.col("text")).alias("query"))
 
     def triage_batch(batch):
-        return _flat_triage(triage_plan.triage(batch, cases, model, rules=RULES, keywords=KEYWORDS, case_texts=False))
+        return _flat_triage(triage_plan.triage(
+            batch, cases, model, rules=RULES, keywords=KEYWORDS, case_texts=False, prepared=prepared))
 
     target = scratch_path(spark, "triage")
     jobs.start_triage(arriving, triage_batch, target, scratch_path(spark, "triage-log"), True).awaitTermination()

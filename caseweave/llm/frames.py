@@ -19,6 +19,7 @@ columns are read, so further columns of any name do no harm; a text of any lengt
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -38,6 +39,9 @@ ENTRY, DOC, ENTRY_BYTES, DOC_BYTES = "<III", "<Bq", 12, 9
 FILE_BYTES = 32 << 20
 MEMO_WORDS, MEMO_LENGTH, SLICE_ROWS = 900_000, 48, 256
 
+# Latin letters, then ASCII marks that no special token begins with.
+PLAIN = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:;=-@\[-`{-~]*)"
+
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 INDEX = "doc_id long, path string, frame int, offset long, size long, raw_size long, checksum long"
@@ -48,7 +52,8 @@ class WordEncoder:
 
     The tokenizer splits at white space and drops it, so a text's ids are the ids of its words in turn. Each word goes
     through the library; a bounded memo keeps the ids of short words. ASCII white space is split here, any other white
-    space stays inside a "word" for the library.
+    space stays inside a "word" for the library. Words of plain letters with marks behind go to the library's model
+    directly, after a check that its steps before the model do to them what is done here.
     """
 
     _loaded: dict[str, WordEncoder] = {}
@@ -56,10 +61,15 @@ class WordEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo = Memo(self._words, MEMO_WORDS, MEMO_LENGTH)
-        self.tokenizer.model._resize_cache(0)  # the memo holds what the library's own cache would
+        self.model, self.pieces = self.tokenizer.model, {}
+        self.model._resize_cache(0)  # the memos hold what the library's own cache would
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.mapped = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.plain = self._plain_words()
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -69,8 +79,43 @@ class WordEncoder:
         return cls._loaded[path]
 
     def _words(self, words: list[bytes]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in encoded)]
+        out, rest = [b""] * len(words), []
+        for i, word in enumerate(words):
+            found = self.plain and self.plain.fullmatch(text := word.decode())
+            if found:
+                letters, marks = found.groups()
+                out[i] = self._piece(letters.lower()) + (self._piece(marks) if marks else b"")
+            else:
+                rest.append(i)
+        encoded = self.tokenizer.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False)
+        for i, own in zip(rest, encoded, strict=True):
+            out[i] = struct.pack(f"<{len(own.ids)}I", *own.ids)
+        return out
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one pre-token, by the library's model itself."""
+        known = self.pieces.get(piece)
+        if known is None:
+            ids = [token.id for token in self.model.tokenize(piece.translate(self.mapped))]
+            known = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.pieces) >= MEMO_WORDS:
+                self.pieces.clear()
+            if len(piece) <= MEMO_LENGTH:
+                self.pieces[piece] = known
+        return known
+
+    def _plain_words(self) -> re.Pattern | None:
+        """Words for which the library's steps before its model are known: lower case, letters and marks apart.
+
+        The tokenizer is asked whether that is so; None where it is not.
+        """
+        pattern = re.compile(PLAIN)
+        for probe in ("Ab", "\u00c9a\u00df", "\u00ffB,", "a!?", "z***", "Q\"", "\u00f1%%%", "o.,"):
+            letters, marks = pattern.fullmatch(probe).groups()
+            ids = [t.id for x in (letters.lower(), marks) if x for t in self.model.tokenize(x.translate(self.mapped))]
+            if ids != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+                return None
+        return pattern
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, without an end id."""

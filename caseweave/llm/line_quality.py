@@ -126,23 +126,21 @@ def assess(
             ),
         ).otherwise(F.col("_text"))
 
+    def measures(w: Column, cleaned: Column) -> Column:
+        n_words = F.size(w).cast("long")
+        return F.struct(
+            n_words.alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            repeated_words(w).alias("n_repeat_words"),
+            F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+            repeated_lines(F.col("_text")).alias("n_dup_lines"), cleaned.alias("clean_text"),
+            F.when(cleaned.eqNullSafe(F.col("_text")), n_words).otherwise(F.size(words(cleaned)).cast("long")).alias("n_words_left"),
+        )
+
+    cleaned = F.when(F.col("lines").isNull(), F.col("_text")).otherwise(let(line_hashes(F.col("_text")), without))
+    # The explode of one element keeps the measures from being computed again for each use, filters included.
     measured = rows.select(
-        "row", "_text",
-        F.when(F.col("lines").isNull(), F.col("_text")).otherwise(let(line_hashes(F.col("_text")), without)).alias("clean_text"),
-        let(
-            words(F.col("_text")),
-            lambda w: F.struct(
-                F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-                repeated_words(w).alias("n_repeat_words"),
-            ),
-        ).alias("m"),
-        F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        repeated_lines(F.col("_text")).alias("n_dup_lines"),
-    ).select(
-        "row", "m.*", "n_symbols", "n_dup_lines", "clean_text",
-        F.when(F.col("clean_text").eqNullSafe(F.col("_text")), F.col("m.n_words"))
-        .otherwise(F.size(words(F.col("clean_text"))).cast("long")).alias("n_words_left"),
-    )
+        "row", F.explode(F.array(let(words(F.col("_text")), lambda w: let(cleaned, lambda c: measures(w, c))))).alias("m")
+    ).select("row", "m.*")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     depleted = 100 * F.col("n_words_left") < min_left_pct * F.col("n_words")
     return measured.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)

@@ -3,9 +3,11 @@
 Equal sets are one node. The join has two parts.
 
 **Dealing.** Sets that can be linked must meet. By size a set belongs to a band. Sets of a larger band are cut into
-parts by a hash of their n-grams; sets that are similar enough differ in at most D n-grams, so among D + 1 parts one is
-the same in both (some parts more make up for empty ones; a link is missed with a probability far below that of two
-64-bit hashes colliding). Sets of up to ``SMALL`` n-grams meet on one of their rarest n-grams (prefix filter by document
+parts by a hash of their n-grams; sets that are similar enough differ in at most D n-grams, so among D + 1 + S parts at
+least S + 1 are the same in both. A set may therefore pass over S of its parts: its empty ones (with more than S of them,
+and a partner that differs in just the others, a link would be missed: far less likely than two 64-bit hashes colliding)
+and, up to that number, those whose contents the most sets share. Two sets pass over their most shared parts in one
+order, so one common part is left. That keeps a line which many texts hold from drawing them together. Sets of up to ``SMALL`` n-grams meet on one of their rarest n-grams (prefix filter by document
 frequency). The sets of a meeting place are hung under the smallest of them, so k sets make k - 1 edges. The components
 of these edges are the groups in which all links lie.
 
@@ -35,9 +37,12 @@ from caseweave.llm.components import components
 from caseweave.session import stored
 
 SMALL, RATIO_PCT = 128, 150
-BLOCK, BROADCAST_ROWS = 4_000_000, 500_000
+BLOCK, BROADCAST_ROWS = 2_000_000, 500_000
 BITS, LEAF, FAN = 4096, 8, 4
-SETS = "doc_id long, node long, n_shingles long, keys array<long>, small array<long>"
+FEW = 4  # a part that so few rows share is never passed over
+SETS = (
+    "doc_id long, node long, n_shingles long, keys array<long>, spare int, above array<long>, above_spare int, small array<long>"
+)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -100,7 +105,8 @@ class Bands:
             bounds.append(-(-bounds[-1] * RATIO_PCT // 100))
         self.lower = np.array(bounds[:-1])
         apart = [(100 - percent) * 2 * (upper - 1) // (100 + percent) for upper in bounds[1:]]
-        self.parts = np.array([d + 1 + 4 + -(-d // 20) for d in apart])
+        self.more = np.array([6 + d // 8 for d in apart])  # S of the module's account
+        self.parts = np.array(apart) + 1 + self.more
 
     def of(self, size: int) -> list[int]:
         """The bands in which a set of ``size`` can be linked to one of at least its size."""
@@ -109,8 +115,8 @@ class Bands:
         near = above < len(self.lower) and size * 100 >= self.percent * int(self.lower[above])
         return ([own] if own >= 0 else []) + ([above] if near else [])
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """The hashed contents of a set's parts, in each of its bands."""
+    def keys(self, shingles: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """For the set's own band and the one above: the hashed contents of its parts, and how many it may pass over."""
         out = []
         for band in self.of(len(shingles)):
             parts = int(self.parts[band])
@@ -118,8 +124,9 @@ class Bands:
             total = np.zeros(parts, np.uint64)
             np.add.at(total, part, mixed(shingles))
             used = np.flatnonzero(np.bincount(part, minlength=parts))
-            out.append(mixed(total[used] + mixed(used.astype(np.uint64) + np.uint64((band + 1) << 32))))
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+            keys = mixed(total[used] + mixed(used.astype(np.uint64) + np.uint64((band + 1) << 32)))
+            out.append((keys, max(0, int(self.more[band]) - (parts - len(used)))))
+        return out + [(np.zeros(0, np.uint64), 0)] * (2 - len(out))
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -145,13 +152,15 @@ def sets_of(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for start, stop in slices([len(t) for t in texts]):
                 found = shingler(texts[start:stop])
                 sizes = np.array([len(f) for f in found], np.int64)
-                node = [node_of(f) for f in found]
+                node, keyed = [node_of(f) for f in found], [bands.keys(f) for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, stop - start), pa.array(node, pa.int64()), pa.array(sizes),
-                        lists([bands.keys(f) for f in found]), lists([f if len(f) <= SMALL else none for f in found]),
+                        lists([k[0][0] for k in keyed]), pa.array([k[0][1] for k in keyed], pa.int32()),
+                        lists([k[1][0] for k in keyed]), pa.array([k[1][1] for k in keyed], pa.int32()),
+                        lists([f if len(f) <= SMALL else none for f in found]),
                     ],
-                    ["doc_id", "node", "n_shingles", "keys", "small"],
+                    ["doc_id", "node", "n_shingles", "keys", "spare", "above", "above_spare", "small"],
                 )
 
     return stored(docs.mapInArrow(cut, SETS), "shingle-sets")
@@ -159,7 +168,9 @@ def sets_of(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 def groups(sets: DataFrame, percent: int) -> DataFrame:
     """``node`` and ``label`` of the nodes that share a meeting place with another."""
-    parts = sets.select("node", F.explode("keys").alias("key"))
+    parts = sets.select("node", F.lit(0).alias("band"), "spare", F.explode("keys").alias("key")).unionByName(
+        sets.select("node", F.lit(1).alias("band"), F.col("above_spare").alias("spare"), F.explode("above").alias("key"))
+    )
     small = sets.where(f"n_shingles BETWEEN 1 AND {SMALL}").select("node", "n_shingles", F.explode("small").alias("key")).distinct()
     frequency = small.groupBy("key").agg(F.count("*").alias("df"))
     rare_first = Window.partitionBy("node").orderBy("df", "key")
@@ -167,10 +178,18 @@ def groups(sets: DataFrame, percent: int) -> DataFrame:
     rarest = small.join(frequency.where("df > 1"), "key", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn(
         "place", F.row_number().over(rare_first)
     ).where(F.col("place") <= prefix).where("df > 1").select("node", F.xxhash64("key", F.lit("small")).alias("key"))
-    keys = parts.unionByName(rarest)
-    roots = keys.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last")
-    edges = keys.join(roots.select("key", "b"), "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    return components(edges)
+    keys = parts.unionByName(rarest.select("node", F.lit(2).alias("band"), F.lit(0).alias("spare"), "key"))
+    # One shuffle of all keys; most are of one set and go. A set has many keys, so many copies of one text make many
+    # large keys and not one.
+    met = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").distinct()
+    shared = stored(
+        met.withColumn("place", F.row_number().over(Window.partitionBy("node", "band").orderBy(F.desc("n"), "key")))
+        .where((F.col("place") > F.col("spare")) | (F.col("n") <= FEW)).select("node", "key"),
+        "shared-keys",
+    )
+    roots = shared.groupBy("key").agg(F.min("node").alias("b"))
+    hung = shared.join(roots, "key").where("node <> b")
+    return components(hung.select(F.col("node").alias("a"), "b").distinct())
 
 
 class Tree:

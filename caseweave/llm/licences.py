@@ -1,8 +1,10 @@
 """Licence recognition by sentences: known sentences become identifiers, ordered rules match their sequences.
 
 A text is cut into sentences, each is normalised (lower case, runs of other than letters and digits become a space) and
-looked up among the known sentences. The identifiers of a text, in order, form a sequence with a break where more than
-``max_gap`` unknown sentences lie between two known ones. Rules are tried in the order given at each place, longer ones
+numbered. A known sentence is found where it is a whole sentence, and also where its words run on over several cuts, as in
+notices that are wrapped before an upper-case word or hold a colon or "v."; inside a sentence it may begin and end at a
+semicolon or before an address too (``PART``). It never begins or ends elsewhere in a sentence. The identifiers of a text, in order, form a sequence with a break where more than
+``max_gap`` unknown sentences lie between the last sentence of one and the first of the next. Rules are tried in the order given at each place, longer ones
 first, and do not overlap: a rule that matches uses up its sentences. Everything happens inside the row: nothing is
 shuffled, so neither hot sentences nor long texts make a large group.
 
@@ -89,6 +91,8 @@ RULES = (
 BREAK = " "
 GOES_ON = r"([^.!?:\x20\x09-\x0D])[ \t]*\r?\n[ \t]*(?:[*#/;]+[ \t]*)?([a-z0-9(])"
 SENTENCE_END = r"[.!?:]+[\x20\x09-\x0D]+|[.!?:]*[\r\n]+"
+# Where a known sentence may begin or end inside a sentence.
+PART = r";+(?=[\x20\x09-\x0D]|$)|[\x20\x09-\x0D](?=[<(]?https?://)"
 
 
 def triggers(sentences: dict[str, str]) -> str:
@@ -104,6 +108,21 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
 
 
+def marked_parts(text: Column) -> Column:
+    """The normalised parts of all sentences in one string, each after a line feed, its sentence's number and a tab."""
+    def numbered(sentence: Column, at: Column) -> Column:
+        parts = F.filter(F.transform(F.split(sentence, PART), normalised), lambda part: part != "")
+        return F.transform(parts, lambda part: F.concat(F.lit("\n"), at.cast("string"), F.lit("\t"), part))
+
+    return F.array_join(F.flatten(F.transform(sentences_of(text), numbered)), "")
+
+
+def known_run(sentences: dict[str, str]) -> str:
+    """A pattern of a known sentence that begins and ends with a part, over any number of parts; longer ones first."""
+    ordered = sorted({s for s in sentences.values()}, key=lambda s: (-len(s), s))
+    return r"\n\d+\t(?:" + "|".join(r"(?: |\n\d+\t)".join(s.split()) for s in ordered) + r")(?=\n|$)"
+
+
 def recognise(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: dict[str, str] | None = None,
     rules: tuple[tuple[str, str], ...] = RULES, max_gap: int = 2,
@@ -117,19 +136,20 @@ def recognise(
     )
     found = texts.select(
         "id",
-        F.filter(
-            F.transform(
-                sentences_of(F.col("text")),
-                lambda s, i: F.struct(i.alias("at"), F.element_at(known, normalised(s)).alias("code")),
+        F.transform(
+            F.regexp_extract_all(marked_parts(F.col("text")), F.lit(known_run(sentences)), F.lit(0)),
+            lambda run: F.struct(
+                F.regexp_extract(run, r"^\n(\d+)\t", 1).cast("int").alias("at"),
+                F.regexp_extract(run, r"(?s)^.*\n(\d+)\t", 1).cast("int").alias("until"),
+                F.element_at(known, F.trim(F.regexp_replace(run, r"\n\d+\t", " "))).alias("code"),
             ),
-            lambda x: x.code.isNotNull(),
         ).alias("found"),
     ).where(F.size("found") > 0)
     sequence = F.array_join(
         F.transform(
             "found",
             lambda x, i: F.concat(
-                F.when(x.at - F.get("found", i - 1).at > max_gap + 1, F.lit(BREAK)).otherwise(F.lit("")), x.code
+                F.when(x.at - F.get("found", i - 1).until > max_gap + 1, F.lit(BREAK)).otherwise(F.lit("")), x.code
             ),
         ),
         "",

@@ -103,6 +103,79 @@ def test_licences(spark):
     assert licences.recognise(documents(spark, [])).count() == 0
 
 
+AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD3 = BSD2 + """
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+CC = "This work is licensed under a\nCreative Commons {} 4.0\nInternational License."
+NOTICES = (
+    ("MIT", MIT + "\n *\n * " + AS_IS.replace("\n", "\n * "), 3), ("MIT", MIT.replace(" * ", "").replace(" *\n", "\n") + "\n\n" + AS_IS, 3),
+    ("MIT", "Released under the\nMIT License.", 1), ("Apache-2.0", APACHE, 5),
+    ("GPL-3.0-or-later", GPL.format(":", ",", 3), 3), ("GPL-2.0-or-later", GPL.format(";", ";", 2), 3),
+    ("GPL-3.0", "This work is licensed under the GNU\nGeneral Public License, version 3.", 1),
+    ("MPL-2.0", MPL, 2), ("MPL-2.0", MPL.replace("at https", "at\nhttp"), 2), ("BSD-2-Clause", BSD2, 3), ("BSD-3-Clause", BSD3, 4),
+    ("ISC", ISC, 1), ("CC-BY-4.0", CC.format("Attribution"), 1), ("CC-BY-SA-4.0", CC.format("Attribution-ShareAlike"), 1),
+    ("CC-BY-NC-4.0", CC.format("Attribution-NonCommercial"), 1), ("CC-BY-NC-4.0", "Licensed under\nCC BY-NC 4.0.", 1),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.", 1),
+    ("Apache-2.0", "Licensed under the\nApache License, Version 2.0.", 1), ("All-rights-reserved", "All Rights\nReserved.", 1),
+)
+
+
+def test_wrapped_notices_are_recognised(spark):
+    marks = ("", "# ", "// ", " * ")
+    rows = [
+        (10 * i + k, "Some Heading\n\n" + "\n".join(mark + line for line in text.split("\n")) + "\n\nThe code follows", None, None, 0)
+        for i, (_, text, _) in enumerate(NOTICES) for k, mark in enumerate(marks)
+    ]
+    got = Counter((r["doc_id"], r["licence"], r["n_matches"], r["n_sentences"]) for r in licences.recognise(documents(spark, rows)).collect())
+    assert got == Counter((10 * i + k, name, 1, n) for i, (name, _, n) in enumerate(NOTICES) for k in range(len(marks)))
+
+
+def test_known_sentences_inside_others_are_none(spark):
+    texts = ["It is not released under the MIT License.", "Released under the MIT License or another.", "We say all rights reserved; or not."]
+    assert licences.recognise(documents(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)])).count() == 0
+
+
 def test_licence_rules_need_their_order_and_nearness(spark):
     known = {"A": "first known", "B": "second known"}
     rules = (("both", "AB"), ("second", "B"))

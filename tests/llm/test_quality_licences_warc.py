@@ -72,6 +72,20 @@ def test_quality_without_broadcast(spark, monkeypatch):
     assert Counter(map(tuple, got)) == Counter((v[0], v[-1]) for v in verdicts(rows, 0.1, 10))
 
 
+@pytest.mark.parametrize("most_lines", [line_quality.HOST_LINES, 0])
+def test_boilerplate_of_a_hot_host(spark, monkeypatch, most_lines):
+    monkeypatch.setattr(line_quality, "HOST_LINES", most_lines)
+    menu = "Home | About | Contact us about all that you want to know"
+    rows = [(i, prose(9000 + i, 12).replace("\n", " ") + ("\n" + menu if i < 30 else ""), "en", "hot", 0) for i in range(600)]
+    rows += [(600 + i, menu + f"\nw{i}", "en", "hot", 0) for i in range(3)]  # depleted: one word is left
+    rows += [(700 + i, prose(9700 + i, 12).replace("\n", " ") + ("\nrare line here" if i < 20 else ""), "en", "cool", 0) for i in range(300)]
+    got = {r["doc_id"]: r for r in line_quality.assess(documents(spark, rows)).select("row.doc_id", "n_words_left", "kept").collect()}
+    assert len(got) == len(rows)
+    assert all(got[i]["n_words_left"] == 12 and got[i]["kept"] for i in range(600))
+    assert all(got[600 + i]["n_words_left"] == 1 and not got[600 + i]["kept"] for i in range(3))
+    assert all(got[700 + i]["n_words_left"] == (15 if i < 20 else 12) for i in range(300))
+
+
 MIT = """ * Permission is hereby granted, free of charge, to any person obtaining a copy
  * of this software and associated documentation files (the "Software"), to deal
  * in the Software without restriction, including without limitation the rights

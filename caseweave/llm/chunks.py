@@ -1,13 +1,14 @@
 """Repeated passages by content-defined chunking with a gear rolling hash.
 
 A text's bytes are hashed with a gear hash (``h = 2h + gear[byte]`` modulo 2**16, so it depends on the last 16 bytes).
-A chunk ends where the hash is the smallest within ``REACH`` bytes on both sides, moved on to the next white space.
-Both rules look at nearby bytes only, so an insertion moves the cuts around it and no others, and a passage is cut in
-the same way wherever it stands. Chunks have about 35 bytes; one without white space or minimum is cut at ``MOST``.
+A chunk ends where the hash is the smallest within ``REACH`` bytes on both sides, moved on to the next white space, or
+to the next start of a character if no white space follows within ``NEAR`` bytes (as in Chinese, Japanese or Thai). Both rules look at nearby bytes only, so an insertion moves the cuts around it and no others, and a passage is cut in
+the same way wherever it stands. Chunks have about 35 bytes; one without minimum is cut at ``MOST``.
 
 A chunk is repeated when its digest occurs in two or more documents. Single chunks repeat by chance, so only a run of
-repeated chunks with ``min_words`` words or more counts as a passage. The document with the smallest id that holds a
-chunk owns it and keeps it; the others lose it if they are rewritten and half as many words in a row are not theirs,
+repeated chunks with ``min_words`` words or more, or with ``min_bytes`` bytes or more that are not white space, counts as
+a passage; the latter is for text that does not put white space between words. The document with the smallest id that holds a
+chunk owns it and keeps it; the others lose it if they are rewritten and half as many words or bytes in a row are not theirs,
 so that an owner does not lose a few words of its passage which an earlier document holds by chance. A passage of over 50 words holds a run of at
 least 22 whatever its surroundings, but for a few bytes' luck: the first and last cut inside it lie within two chunks
 of its ends.
@@ -36,9 +37,10 @@ from caseweave.session import stored
 
 REACH, MOST, PAD = 16, 512, 64
 NO_ID = (1 << 63) - 1
-MIN_WORDS = 22
+NEAR = 64
+MIN_WORDS, MIN_BYTES = 22, 256
 BROADCAST_ROWS = 100_000
-CHUNKED = "doc_id long, text_digest binary, digests array<long>, sizes array<int>, words array<int>"
+CHUNKED = "doc_id long, text_digest binary, digests array<long>, sizes array<int>, words array<int>, blanks array<int>"
 
 
 def gear_table() -> np.ndarray:
@@ -67,6 +69,10 @@ class Chunker:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Number of chunks per text; digest, size and number of words of each chunk."""
+        return self.measured(texts)[:4]
+
+    def measured(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        """The same, and the number of white-space bytes of each chunk."""
         pad = bytes(PAD)
         whole = pad + b"".join([text + pad for text in texts])
         data = np.frombuffer(whole, np.uint8)
@@ -76,7 +82,8 @@ class Chunker:
         spaces = np.flatnonzero(self.space[data])
         found = minima(data, self.gear)
         moved = np.searchsorted(spaces, found)
-        cuts = np.append(spaces, len(data))[moved]
+        cuts = np.append(spaces, len(data) + NEAR)[moved]
+        cuts = np.where(cuts - found <= NEAR, cuts, self._characters(data, found, len(data)))
         owner = np.searchsorted(starts, cuts, "right") - 1
         same = owner == np.searchsorted(starts, found, "right") - 1  # the next white space may be in another text
         cuts = cuts[same & (owner >= 0) & (cuts > starts[owner]) & (cuts < ends[owner])]
@@ -97,16 +104,24 @@ class Chunker:
         ).view(np.int64)
         inside = ~self.space[data] & (data > 0)
         begins = np.concatenate([[0], np.cumsum(inside & ~np.concatenate([[False], inside[:-1]]))])
+        before = np.concatenate([[0], np.cumsum(self.space[data])])
         counts = np.bincount(owner, minlength=len(texts)) if len(texts) else np.zeros(0, np.int64)
-        return counts, digests, (last - first).astype(np.int32), (begins[last] - begins[first]).astype(np.int32)
+        return counts, digests, (last - first).astype(np.int32), (begins[last] - begins[first]).astype(np.int32), (
+            before[last] - before[first]
+        ).astype(np.int32)
 
     @staticmethod
     def _forced(data: np.ndarray, start: int, end: int) -> np.ndarray:
         """Cuts every MOST bytes, at the start of a character."""
-        places = np.arange(start + MOST, end, MOST)
+        places = Chunker._characters(data, np.arange(start + MOST, end, MOST), end)
+        return places[places < end]
+
+    @staticmethod
+    def _characters(data: np.ndarray, places: np.ndarray, end: int) -> np.ndarray:
+        """The places, moved on to the next start of a character."""
         for _ in range(3):
             places = np.where((places < end) & ((data[np.minimum(places, end - 1)] & 0xC0) == 0x80), places + 1, places)
-        return places[places < end]
+        return places
 
 
 def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -118,15 +133,15 @@ def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             for start, stop in slices([len(t) for t in texts]):
                 part = texts[start:stop]
-                counts, digests, sizes, words = chunker(part)
+                counts, digests, sizes, words, blanks = chunker.measured(part)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, stop - start),
                         pa.array([hashlib.sha256(t).digest() for t in part], pa.binary()),
-                        *[pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (digests, sizes, words)],
+                        *[pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (digests, sizes, words, blanks)],
                     ],
-                    ["doc_id", "text_digest", "digests", "sizes", "words"],
+                    ["doc_id", "text_digest", "digests", "sizes", "words", "blanks"],
                 )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -135,7 +150,7 @@ def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES
 ) -> DataFrame:
     """A row per repeated passage: ``doc_id``, ``text_digest``, byte range ``start``..``stop``, ``n_words``,
     ``first_doc_id`` (the smallest id among the owners of its chunks) and ``lost``, the byte ranges that others own."""
@@ -155,13 +170,14 @@ def passages(
                 first = np.array([f["first"] for f in row["flags"]], np.int64)
                 ends = np.cumsum(row["sizes"])
                 sizes, words = np.array(row["sizes"]), np.array(row["words"])
+                solid = sizes - np.array(row["blanks"])
                 breaks = np.flatnonzero(np.diff(at) != 1) + 1
                 for a, f in zip(np.split(at, breaks), np.split(first, breaks), strict=True):
-                    if (n := int(words[a].sum())) < min_words:
+                    if (n := int(words[a].sum())) < min_words and solid[a].sum() < min_bytes:
                         continue
                     lost = a[f != own]
                     stretches = np.split(lost, np.flatnonzero(np.diff(lost) != 1) + 1) if len(lost) else []
-                    stretches = [s for s in stretches if words[s].sum() >= min_words // 2]
+                    stretches = [s for s in stretches if words[s].sum() >= min_words // 2 or solid[s].sum() >= min_bytes // 2]
                     out.append({
                         "doc_id": row["doc_id"], "text_digest": row["text_digest"],
                         "start": int(ends[a[0]] - sizes[a[0]]), "stop": int(ends[a[-1]]), "n_words": n,
@@ -173,7 +189,7 @@ def passages(
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
     schema = pa.schema([("doc_id", pa.int64()), ("text_digest", pa.binary()), ("start", pa.int64()), ("stop", pa.int64()),
                         ("n_words", pa.int64()), ("first_doc_id", pa.int64()), ("lost", pa.list_(span))])
-    joined = table.select("row_no", "doc_id", "text_digest", "sizes", "words").join(flagged, "row_no").drop("row_no")
+    joined = table.select("row_no", "doc_id", "text_digest", "sizes", "words", "blanks").join(flagged, "row_no").drop("row_no")
     return joined.mapInArrow(
         runs,
         "doc_id long, text_digest binary, start long, stop long, n_words long, first_doc_id long, "
@@ -196,10 +212,10 @@ def without(text: Column, lost: Column) -> Column:
 
 
 def deduplicated(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES
 ) -> DataFrame:
     """The documents without the passages that an earlier document owns; one of which no word is left goes."""
-    found = passages(docs, id_col, text_col, min_words).where(F.size("lost") > 0)
+    found = passages(docs, id_col, text_col, min_words, min_bytes).where(F.size("lost") > 0)
     lost = stored(
         found.dropDuplicates(["doc_id", "text_digest", "start"]).groupBy("doc_id", "text_digest").agg(
             F.sort_array(F.flatten(F.collect_list("lost"))).alias("_lost")

@@ -156,6 +156,28 @@ def test_chunks_resist_insertions():
     assert len(set(before) - set(after)) <= 6 and len(set(after) - set(before)) <= 8
 
 
+def unspaced(seed, n):
+    return "".join(map(chr, np.random.default_rng(seed).integers(0x4E00, 0x9FA5, n)))
+
+
+def test_chunks_of_unspaced_text_resist_insertions():
+    chunker, text = chunks.Chunker(), unspaced(1, 4000)
+    before = chunker([text.encode()])[1].tolist()
+    after = chunker([(unspaced(2, 1) + text[:1500] + unspaced(3, 2) + text[1500:]).encode()])[1].tolist()
+    assert len(before) > 200 and len(set(before) - set(after)) <= 6 and len(set(after) - set(before)) <= 8
+
+
+def test_unspaced_passages_are_found_and_removed(spark):
+    passage = unspaced(5, 400)
+    rows = [(i, unspaced(10 + i, 100 + 7 * i) + (passage if i % 3 == 0 else "") + unspaced(40 + i, 150), "zh", "s", 0) for i in range(9)]
+    rows += [(20 + i, f"few{i}" + " " * 3000 + f"words{i}", "en", "s", 0) for i in range(2)]  # white space is no passage
+    found = chunks.passages(documents(spark, rows)).collect()
+    assert {r["doc_id"] for r in found} == {0, 3, 6} and all(r["stop"] - r["start"] > 900 for r in found)
+    texts = {r["doc_id"]: r["text"] for r in chunks.deduplicated(documents(spark, rows)).collect()}
+    assert all(texts[i] == text if i not in (3, 6) else len(texts[i]) < len(text) - 300 for i, text, *_ in rows)
+    assert not any("\ufffd" in t for t in texts.values())
+
+
 def test_chunks_of_a_text_do_not_depend_on_its_neighbours():
     chunker = chunks.Chunker()
     texts = [(r[1] or "").encode() for r in awkward()]

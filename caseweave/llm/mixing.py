@@ -3,8 +3,13 @@
 A multinomial word model, learned from labelled documents, gives each document a posterior over the domains. Projected
 gradient descent then fits one nonnegative rate per document so that the expected tokens of each domain, the sum of
 rate x tokens x posterior, meet the targets. With K domains a step needs K sums over all documents and nothing else:
-a rate is the start rate after the K-vectors of all steps so far, so each job reads the posterior table once and folds
-the (few) steps inside the row. No state per document is rewritten and the driver holds K numbers per step.
+a rate is the start rate after the K-vectors of the steps so far, so each job reads the posterior table once and folds
+the (few) steps inside the row; after ``FOLDED`` steps the rates are stored and the next ones start from there. The driver
+holds K numbers per step.
+
+Rates have no upper bound unless ``most`` is given, so a domain of few tokens can reach its target. Steps are taken until
+the targets are met, the sums stand still, or ``max_steps`` are done; targets that are missed are logged as a warning
+and returned beside the sums that were reached.
 
 The least squares are weighted by the inverse of the K x K matrix of the posteriors' second moments and the gradient
 is taken per token. In that metric the largest curvature is 1, so the step length is 1 and no bound is needed.
@@ -21,6 +26,7 @@ floating-point sum decides nothing; only the id and text columns are read, furth
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -29,6 +35,10 @@ from caseweave.llm.line_quality import words
 from caseweave.session import stored
 
 BROADCAST_ROWS = 500_000
+FOLDED = 30
+# Sums that move by less than this part of the tolerance stand still.
+STILL = 1e-3
+LOG = logging.getLogger(__name__)
 
 
 def sample_labelled(labelled: DataFrame, most: int) -> DataFrame:
@@ -114,9 +124,13 @@ def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
     return found
 
 
-def rate(steps: list[list[float]], least: float, most: float) -> Column:
-    """The rate of a row after ``steps``, each projected on [least, most]."""
-    start = F.lit(min(max(1.0, least), most))
+def bounded(value: Column, least: float, most: float | None) -> Column:
+    value = F.greatest(value, F.lit(float(least)))
+    return value if most is None else F.least(value, F.lit(float(most)))
+
+
+def rate(steps: list[list[float]], least: float, most: float | None, start: Column) -> Column:
+    """The rate of a row that starts from ``start``, after ``steps``, each projected on [least, most]."""
     if not steps:
         return start
     literal = F.array(*[F.array(*[F.lit(x) for x in step]) for step in steps])
@@ -124,14 +138,14 @@ def rate(steps: list[list[float]], least: float, most: float) -> Column:
     def after(r: Column, step: Column) -> Column:
         move = sum((F.get(step, F.lit(i)) * F.get(F.col("p"), F.lit(i)) for i in range(1, len(steps[0]))),
                    F.get(step, F.lit(0)) * F.get(F.col("p"), F.lit(0)))
-        return F.least(F.greatest(r - move, F.lit(float(least))), F.lit(float(most)))
+        return bounded(r - move, least, most)
 
     return F.aggregate(literal, start, after)
 
 
 def fit_rates(
-    members: DataFrame, weights: dict[str, float], budget: float | None = None, least: float = 0.0, most: float = 8.0,
-    max_steps: int = 30, tolerance: float = 1e-4,
+    members: DataFrame, weights: dict[str, float], budget: float | None = None, least: float = 0.0,
+    most: float | None = None, max_steps: int = 30, tolerance: float = 1e-4,
 ) -> tuple[DataFrame, list[float], list[float]]:
     """``members`` with ``rate``; the expected tokens per domain, and the targets.
 
@@ -147,13 +161,25 @@ def fit_rates(
     held = [second[len(domains) ** 2 + i] for i in k]
     wanted = budget if budget is not None else max((held[i] / share[i] for i in k if share[i] > 0), default=0.0)
     targets = [wanted * s for s in share]
-    steps: list[list[float]] = []
+    start, steps, done, before = bounded(F.lit(1.0), least, most), [], 0, None
+    rated = members
     while True:
-        now = members.agg(*[F.coalesce(F.sum(rate(steps, least, most) * t), F.lit(0.0)) for t in token]).first()
+        now = rated.agg(*[F.coalesce(F.sum(rate(steps, least, most, start) * t), F.lit(0.0)) for t in token]).first()
         off = [now[i] - targets[i] for i in k]
-        if len(steps) == max_steps or max(map(abs, off)) <= tolerance * max(wanted, 1.0):
-            return members.withColumn("rate", F.round(rate(steps, least, most), 6)), list(now), targets
+        met = max(map(abs, off)) <= tolerance * max(wanted, 1.0)
+        still = before is not None and max(abs(now[i] - before[i]) for i in k) < STILL * tolerance * max(wanted, 1.0)
+        if met or still or done == max_steps:
+            if not met:
+                LOG.warning("targets missed after %d steps: %s", done, ", ".join(
+                    f"{domain} {now[i]:.0f} of {targets[i]:.0f} tokens" for i, domain in enumerate(domains)
+                ))
+            found = F.round(rate(steps, least, most, start), 6)
+            return rated.select(*members.columns, found.alias("rate")), list(now), targets
+        if len(steps) == FOLDED:
+            rated = stored(rated.select(*members.columns, rate(steps, least, most, start).alias("_rate")), "rates")
+            start, steps = F.col("_rate"), []
         steps.append(solve(matrix, off))
+        done, before = done + 1, now
 
 
 def copies(id_col: Column, rate_col: Column) -> Column:

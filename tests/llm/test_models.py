@@ -50,6 +50,30 @@ def test_rates_equal_plain_projected_gradient(spark):
     assert np.allclose(rate, [r["rate"] for r in rows], atol=1e-5)
 
 
+def test_production_rates_meet_targets_far_from_the_shares(spark):
+    kinds = ["blue"] * 8 + ["green"] * 24 + ["red"] * 368
+    rows = [(i, prose(i, 30 + i % 50) + f" {kind} {kind}ish" * 8, kind, "s", 0) for i, kind in enumerate(kinds)]
+    docs = documents(spark, rows)
+    found = queries.language_rates(docs, docs.selectExpr("doc_id"), WEIGHTS).collect()
+    total = np.sum([np.array(r["p"]) * r["n_tokens"] * r["rate"] for r in found], axis=0)
+    assert np.allclose(total / total.sum(), list(WEIGHTS.values()), atol=1e-3)
+    assert len(found) == len(rows) and max(r["rate"] for r in found) > 8 and min(r["rate"] for r in found) >= 0
+
+
+def test_missed_targets_are_logged(spark, caplog):
+    docs = documents(spark, domain_rows(60))
+    members = mixing.posteriors(docs, docs.selectExpr("doc_id AS id", "lang AS domain"), list(WEIGHTS))
+    _, held, targets = mixing.fit_rates(members, WEIGHTS, most=1.0)
+    assert not np.allclose(held, targets, rtol=1e-2) and "targets missed" in caplog.text
+
+
+def test_stored_steps_change_no_rate(spark, monkeypatch):
+    limits = {"budget": 9000.0, "least": 0.4, "most": 1.3, "max_steps": 12, "tolerance": 0.0}
+    whole = {r["id"]: r["rate"] for r in fitted(spark, domain_rows(), **limits)[0].collect()}
+    monkeypatch.setattr(mixing, "FOLDED", 5)
+    assert {r["id"]: r["rate"] for r in fitted(spark, domain_rows(), **limits)[0].collect()} == pytest.approx(whole, abs=2e-6)
+
+
 def test_mixing_takes_documents_by_their_rates(spark):
     rated, _, _ = fitted(spark, domain_rows())
     docs = clashing(documents(spark, domain_rows()))

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caseweave.llm import byte_bpe, chunks, frames, hamming, licences, line_quality, mixing, signature_trees, toxicity, warc
+from caseweave.llm import (
+    byte_bpe, chunks, frames, hamming, licences, line_quality, mixing, negatives, runs, signature_trees, simhash, toxicity, warc,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -171,5 +173,38 @@ def op9_signature_trees(spark: SparkSession, folder: str) -> DataFrame:
     return signature_trees.join(table(spark, folder, "documents"), n=4, percent=85)
 
 
-QUERIES = {"op9_signature_trees": op9_signature_trees, "op6_hamming": op6_hamming, "op7_toxicity": op7_toxicity, "op5_chunks": op5_chunks, "op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe}
-SQL: dict[str, str] = {"op2_licences": OP2, "op4_warc": OP4, "op3_line_quality": OP3}
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and the components of those within three bits of each other."""
+    return simhash.join(table(spark, folder, "documents"))
+
+
+def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and each of its positives, out of all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+OP12 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS vec
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, CAST(list_inner_product(a.vec, v.vec) AS BIGINT) AS score
+  FROM v a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of all documents."""
+    return runs.find(table(spark, folder, "documents"))
+
+
+QUERIES = {"op9_signature_trees": op9_signature_trees, "op6_hamming": op6_hamming, "op7_toxicity": op7_toxicity, "op5_chunks": op5_chunks, "op1_mixing": op1_mixing, "op2_licences": op2_licences, "op4_warc": op4_warc, "op3_line_quality": op3_line_quality, "op8_token_frames": op8_token_frames, "op10_byte_bpe": op10_byte_bpe,
+           "op11_simhash": op11_simhash, "op12_negatives": op12_negatives, "op13_runs": op13_runs}
+SQL: dict[str, str] = {"op2_licences": OP2, "op4_warc": OP4, "op3_line_quality": OP3, "op12_negatives": OP12}

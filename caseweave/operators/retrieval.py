@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from caseweave.functions import lexicon
 from caseweave.functions.decisions import keyword_compatibility
-from caseweave.operators import tfidf
+from caseweave.operators import postings, tfidf
 from caseweave.operators.cases import answerable
 from caseweave.operators.similarity import top_k
 
@@ -40,6 +40,19 @@ def prepare_cases(
     return tfidf.transform(scored, model, ["compatibility"]).withColumnRenamed("id", "case_id")
 
 
+def index_cases(
+    cases: DataFrame,
+    model: tfidf.TfidfModel,
+    path: str,
+    keywords: Keywords = lexicon.INTENT_KEYWORDS,
+    id_column: str = "support_tweet_id",
+    text: str = "customer_text",
+    depth: int = 10,
+) -> postings.CaseIndex:
+    """A new version of the case index kept at ``path``, for streams and services; :func:`postings.load` opens it."""
+    return postings.build(prepare_cases(cases, model, keywords, id_column, text), path, depth)
+
+
 def retrieve(
     queries: DataFrame,
     cases: DataFrame,
@@ -48,26 +61,24 @@ def retrieve(
     keywords: Keywords = lexicon.INTENT_KEYWORDS,
     id_column: str = "support_tweet_id",
     text: str = "customer_text",
-    prepared: DataFrame | None = None,
+    index: postings.CaseIndex | None = None,
 ) -> DataFrame:
     """The ``k`` best cases per query by .75 * similarity + .25 * compatibility with the query's intent.
 
     ``queries`` is (query_id, query, intent); a null intent counts no keywords. Ties go to the smaller case id.
-    ``prepared`` is a stored result of :func:`prepare_cases` for the same model and keywords; with it no case is
-    vectorised anew, which is what a stream or a service wants.
+    ``index`` is a case index of the same model and keywords (:func:`index_cases`); with it no case is read or vectorised
+    anew, which is what a stream or a service wants.
     """
     intents = list(keywords)
     indexed = queries.select(
         F.col("query_id").alias("id"), F.col("query").alias("text"),
         _intent_index(F.col("intent"), intents).alias("intent_index"),
     )
-    return top_k(
-        tfidf.transform(indexed, model, ["intent_index"]).withColumnRenamed("id", "query_id"),
-        prepare_cases(cases, model, keywords, id_column, text) if prepared is None else prepared,
-        k,
-        lexicon.SIMILARITY_WEIGHT,
-        lexicon.COMPATIBILITY_WEIGHT,
-    )
+    vectors = tfidf.transform(indexed, model, ["intent_index"]).withColumnRenamed("id", "query_id")
+    weights = lexicon.SIMILARITY_WEIGHT, lexicon.COMPATIBILITY_WEIGHT
+    if index is not None:
+        return postings.search(vectors, index, k, *weights)
+    return top_k(vectors, prepare_cases(cases, model, keywords, id_column, text), k, *weights)
 
 
 def retrieve_messages(

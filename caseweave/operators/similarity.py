@@ -1,23 +1,23 @@
 """Exact top-k similarity of all queries with all cases.
 
-Both sides are cut into blocks of bounded size by a hash of the row id; every query block meets every case block
-in one task, which keeps only k rows per query. Nothing is grouped by term, so a term that occurs in a third of
-all texts makes no hot partition, no (query, case) pair is ever a row of a shuffle, and no side is broadcast.
-The shuffle carries each query once per case block and each case once per query block.
+Up to ``SMALL_PRODUCT`` pairs of a query and a case, both sides are cut into a few blocks by a hash of the row id and every
+query block meets every case block in one task, which keeps only k rows per query. Beyond that the cases are indexed
+(:mod:`caseweave.operators.postings`), and the work follows the pairs that can be among the best. Both ways are exact and
+give the same rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from caseweave.operators import blocks
+from caseweave.operators import blocks, postings
 from caseweave.session import cut_lineage
 
 CASE_ENTRIES = 4_000_000  # vector entries per case block
 QUERY_ENTRIES = 1_000_000  # vector entries per query block
 QUERY_ROWS = 2_048
 CASE_ROWS = 65_536
-MOST_PARTITIONS = 50_000
+SMALL_PRODUCT = 100_000_000  # pairs
 
 
 def _block_count(vectors: DataFrame, entries: int, rows: int, id_column: str) -> tuple[int, int]:
@@ -49,8 +49,10 @@ def top_k(
         cases = cases.withColumn("compatibility", F.array().cast("array<double>"))
     queries = cut_lineage(queries.select("query_id", "indices", "weights", "intent_index"))
     cases = cut_lineage(cases.select("case_id", "indices", "weights", "compatibility"))
-    query_blocks, _ = _block_count(queries, QUERY_ENTRIES, QUERY_ROWS, "query_id")
+    query_blocks, n_queries = _block_count(queries, QUERY_ENTRIES, QUERY_ROWS, "query_id")
     case_blocks, n_cases = _block_count(cases, CASE_ENTRIES, CASE_ROWS, "case_id")
+    if n_queries * n_cases > SMALL_PRODUCT:
+        return postings.search(queries, postings.build(cases, depth=k), k, similarity_weight, compatibility_weight)
     # Small inputs still use all cores.
     cores = queries.sparkSession.sparkContext.defaultParallelism
     case_blocks = max(case_blocks, min(-(-cores // query_blocks), -(-n_cases // 64), cores))
@@ -66,7 +68,7 @@ def top_k(
         return blocks.top_k_of_blocks(query_table, case_table, k, similarity_weight, compatibility_weight)
 
     # As many partitions as block pairs call for, whatever the session's default is.
-    partitions = min(2 * query_blocks * case_blocks, MOST_PARTITIONS)
+    partitions = 2 * query_blocks * case_blocks
     scored = (
         spread_queries.repartition(partitions, "_q", "_c").groupBy("_q", "_c")
         .cogroup(spread_cases.repartition(partitions, "_q", "_c").groupBy("_q", "_c"))

@@ -8,6 +8,7 @@ from caseweave.functions import lexicon
 from caseweave.functions.decisions import RuleTable, action_reply, route
 from caseweave.operators import tfidf
 from caseweave.operators.classify import IntentModel, classify
+from caseweave.operators.postings import CaseIndex
 from caseweave.operators.relational import validate_requests
 from caseweave.operators.retrieval import Keywords, cases_per_query, retrieve, with_case_texts
 from caseweave.session import cut_lineage
@@ -65,13 +66,13 @@ def triage(
     rules: RuleTable = lexicon.INTENT_RULES,
     keywords: Keywords = lexicon.INTENT_KEYWORDS,
     case_texts: bool = True,
-    prepared: DataFrame | None = None,
+    index: CaseIndex | None = None,
 ) -> DataFrame:
     """(query_id, query) to one result row each: intent, evidence scores, action, reason, reply and cases."""
     named = messages.select(F.col("query_id").alias("id"), F.col("query").alias("text"))
     classes = classify(named, intent_model, rules, with_text=True)
     classified = cut_lineage(classes.withColumnsRenamed({"id": "query_id", "text": "query"}))
-    ranked = cut_lineage(retrieve(classified, cases, text_model, top_k, keywords, prepared=prepared))
+    ranked = cut_lineage(retrieve(classified, cases, text_model, top_k, keywords, index=index))
     return decide(classified, ranked, cases, case_texts)
 
 

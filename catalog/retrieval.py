@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from caseweave.functions import decisions, judging, lexicon, text as tx
-from caseweave.operators import cases as case_ops, classify, clusters, metrics, retrieval, sampling, similarity, tfidf
+from caseweave.operators import (
+    cases as case_ops, classify, clusters, metrics, postings, retrieval, sampling, similarity, tfidf,
+)
 from caseweave.operators.relational import drop_blank
 from caseweave.operators.sampling import unique_texts
 from caseweave.plans import evaluation, triage as triage_plan
@@ -86,11 +88,21 @@ ranked AS (
   ) WHERE rank <= 5)"""
 
 
-def _document_matches(spark, folder):
+def _match_sides(spark, folder):
+    """Customer turns, documents, and the vocabulary of the documents."""
     documents = drop_blank(table(spark, folder, "documents", text_work=True).select("doc_id", "text"), "text")
     corpus = cut_lineage(unique_texts(documents, "text", "doc_id"))
     model = tfidf.fit(tfidf.document_text(corpus, "doc_id", "text"))
     queries = _customer_texts(spark, folder).select(F.col("id").alias("query_id"), F.col("text").alias("query"))
+    return queries, corpus, model
+
+
+def _vectors(rows, model, key, text):
+    return tfidf.transform(tfidf.document_text(rows, key, text), model)
+
+
+def _document_matches(spark, folder):
+    queries, corpus, model = _match_sides(spark, folder)
     return retrieval.retrieve_messages(queries, corpus, model, 5, "doc_id", "text")
 
 
@@ -101,6 +113,15 @@ def cosine_topk(spark, folder):
     return _rounded(ranked.withColumn("rank", F.col("rank").cast("bigint")), "similarity")
 
 
+@register("m3_indexed_topk", SQL["m3_cosine_topk"])
+def _(spark, folder):
+    """The same matches from an inverted index of the documents, whatever their number."""
+    queries, corpus, model = _match_sides(spark, folder)
+    index = postings.build(_vectors(corpus, model, "doc_id", "text").withColumnRenamed("id", "case_id"), depth=5)
+    ranked = postings.search(_vectors(queries, model, "query_id", "query").withColumnRenamed("id", "query_id"), index, 5)
+    return _rounded(ranked.select("query_id", F.col("rank").cast("bigint").alias("rank"), "case_id", "similarity"), "similarity")
+
+
 _THRESHOLDS = (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6)
 
 
@@ -262,6 +283,16 @@ def retrieve(spark, folder):
     return _rounded(ranked.withColumn("rank", F.col("rank").cast("bigint")), *_SCORES)
 
 
+@register("e3_indexed_retrieve", SQL["e3_retrieve"])
+def _(spark, folder):
+    """The same cases from a case index that is kept and opened again."""
+    cases, path = _cases(spark, folder), scratch_path(spark, "case-index")
+    model = _case_model(cases)
+    retrieval.index_cases(cases, model, path, KEYWORDS)
+    ranked = retrieval.retrieve(_classified(spark, folder), cases, model, 3, KEYWORDS, index=postings.load(spark, path))
+    return _rounded(ranked.withColumn("rank", F.col("rank").cast("bigint")), *_SCORES)
+
+
 @register("j13_cited_cases", f"""{_retrieval_sql(3)}
 SELECT case_id, count(*) AS queries, any_value(customer_case) AS customer_case,
        any_value(support_response) AS support_response FROM ranked GROUP BY case_id""")
@@ -708,13 +739,16 @@ def _stream(spark, folder, name):
 def _(spark, folder):
     cases = _cases(spark, folder)
     model = _case_model(cases)
-    prepared = cut_lineage(retrieval.prepare_cases(cases, model, KEYWORDS))  # once, for all batches
-    stream = _stream(spark, folder, "conversations").where("role = 'user'")
+    # Indexed once; each of the batches reads the index's folders of its own terms.
+    index = retrieval.index_cases(cases, model, scratch_path(spark, "case-index"), KEYWORDS)
+    turns, source = spark.read.parquet(f"{folder}/conversations.parquet"), scratch_path(spark, "conversations")
+    turns.repartition(2, "conv_id").write.parquet(source)
+    stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(source).where("role = 'user'")
     arriving = stream.select(_turn_ids().alias("query_id"), tx.normalize(F.col("text")).alias("query"))
 
     def triage_batch(batch):
         return _flat_triage(triage_plan.triage(
-            batch, cases, model, rules=RULES, keywords=KEYWORDS, case_texts=False, prepared=prepared))
+            batch, cases, model, rules=RULES, keywords=KEYWORDS, case_texts=False, index=index))
 
     target = scratch_path(spark, "triage")
     jobs.start_triage(arriving, triage_batch, target, scratch_path(spark, "triage-log"), True).awaitTermination()

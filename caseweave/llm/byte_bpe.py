@@ -14,10 +14,14 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame, types as T
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame, types as T
 from caseweave.llm.files import open_file
 from caseweave.llm.memo import Memo
 
-MEMO_TOKENS, MEMO_LENGTH, SLICE_CHARS = 700_000, 48, 2_000_000
+MEMO_TOKENS, MEMO_LENGTH, SLICE_CHARS = 350_000, 48, 2_000_000
 # White space as the Unicode property; the regex library's own \s also holds the four separators U+001C to U+001F.
 SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NO_SPACE = SPACE.replace("[", "[^", 1)
@@ -77,23 +81,28 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: the pair of lowest rank is joined first, the leftmost among equals."""
-    n = len(piece)
+    n, get = len(piece), ranks.get
+    shift = n.bit_length()
+    low = (1 << shift) - 1
     end = list(range(1, n + 1))  # where the part that begins at i ends, 0 once it is joined to its left neighbour
     before = list(range(-1, n - 1))  # where the part left of i begins
-    heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(piece[i : i + 2])) is not None]
+    # An entry is one number: the rank, where the pair begins, where it ends.
+    heap = [(rank << shift | i) << shift | i + 2 for i in range(n - 1) if (rank := get(piece[i : i + 2])) is not None]
     heapq.heapify(heap)
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, left, stop = heapq.heappop(heap)
+        entry = pop(heap)
+        left, stop = entry >> shift & low, entry & low
         right = end[left]
         if not right or right >= n or end[right] != stop:
             continue  # one of the two has changed since
         end[left], end[right] = stop, 0
         if stop < n:
             before[stop] = left
-            if (rank := ranks.get(piece[left : end[stop]])) is not None:
-                heapq.heappush(heap, (rank, left, end[stop]))
-        if left and (rank := ranks.get(piece[before[left] : stop])) is not None:
-            heapq.heappush(heap, (rank, before[left], stop))
+            if (rank := get(piece[left : end[stop]])) is not None:
+                push(heap, (rank << shift | left) << shift | end[stop])
+        if left and (rank := get(piece[(first := before[left]) : stop])) is not None:
+            push(heap, (rank << shift | first) << shift | stop)
     ids, at = [], 0
     while at < n:
         ids.append(ranks[piece[at : end[at]]])
@@ -101,6 +110,14 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Bpe:
     """Encoder and decoder of one rank file."""
 
@@ -108,19 +125,24 @@ class Bpe:
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
-        tokens = list(self.ranks)
+        tokens, self.names = list(self.ranks), {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern.replace(r"[^\s", "[^" + SPACE[1:-1]).replace(r"\S", NO_SPACE).replace(r"\s", SPACE))
         # Two white-space characters in a row of which the last is a space, or a space at the end: cut with the pattern.
         self.odd_space = regex.compile(SPACE + r" | \Z")
         self.cut = regex.compile(f"{SPACE}*{NO_SPACE}+|{SPACE}+")
+        # A space and lower-case ASCII letters are one pre-token of most patterns; this one is asked.
+        probes = [" " + letters for letters in ("abcdefghijklmnopqrstuvwxyz", "s", "ll", "zz")]
+        simple = all(self.pattern.findall(probe) == [probe] for probe in probes)
+        self.whole = re.compile(" [a-z]+" if simple else r"(?!)").fullmatch
         hashes = self._hash(tokens)
         self.perfect = PerfectHash(hashes)
         numbers = self.perfect(hashes)
         self.keys, self.packed = [b""] * len(tokens), [b""] * len(tokens)
         for number, token in zip(numbers.tolist(), tokens, strict=True):
             self.keys[number], self.packed[number] = token, self.ranks[token].to_bytes(4, "little")
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.tokens = pa.array([self.names.get(i) for i in range(max(self.names) + 1)], pa.binary())
         self.memo = Memo(self._resolve, MEMO_TOKENS, MEMO_LENGTH)
+        self.pieces = Memo(self._ids, MEMO_TOKENS, MEMO_LENGTH)
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Bpe:
@@ -135,16 +157,17 @@ class Bpe:
 
     def _resolve(self, segments: list[str]) -> list[bytes]:
         """Ids of distinct stretches of text as packed 32-bit integers."""
-        split = [self.pattern.findall(segment) for segment in segments]
-        pieces = list(set().union(*split))
+        whole, split = self.whole, self.pattern.findall
+        return self.pieces.joined([[segment] if whole(segment) else split(segment) for segment in segments])
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pre-tokens: by the perfect hash, or merged."""
         keys = [piece.encode() for piece in pieces]
-        numbers = self.perfect(self._hash(keys)).tolist()
-        known = {
-            piece: self.packed[number] if number >= 0 and self.keys[number] == key
-            else np.array(merge(key, self.ranks), "<u4").tobytes()
-            for piece, key, number in zip(pieces, keys, numbers, strict=True)
-        }
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        packed, own, ranks = self.packed, self.keys, self.ranks
+        return [
+            packed[number] if number >= 0 and own[number] == key else packed_ids(merge(key, ranks))
+            for key, number in zip(keys, self.perfect(self._hash(keys)).tolist(), strict=True)
+        ]
 
     def _segments(self, text: str) -> list[str]:
         """``text`` cut before runs of white space: no pre-token of the pattern crosses such a place."""
@@ -157,8 +180,11 @@ class Bpe:
         """Ids of each text as packed little-endian 32-bit integers."""
         return self.memo.joined([self._segments(text or "") for text in texts])
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids; of a null none."""
+        taken = self.tokens.take(ids.flatten())
+        offsets = np.concatenate([[0], np.cumsum(np.asarray(ids.value_lengths().fill_null(0)))]).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), taken), b"")
 
 
 def slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -200,10 +226,9 @@ def with_bytes(encoded: DataFrame, ranks: str, pattern: str, ids_col: str = "ids
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.of(ranks, pattern)
         for batch in batches:
-            ids = batch.column(at)
-            for start, stop in slices([len(x) if x.is_valid else 0 for x in ids]):
+            for start, stop in slices(batch.column(at).value_lengths().fill_null(0).to_pylist()):
                 kept = batch.slice(start, stop - start)
-                out = pa.array([bpe.decode(x or ()) for x in kept.column(at).to_pylist()], pa.binary())
+                out = bpe.decode(kept.column(at))
                 yield pa.RecordBatch.from_arrays([*kept.columns, out], [*batch.schema.names, out_col])
 
     schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())])

@@ -6,6 +6,9 @@ import uuid
 from urllib.parse import urlparse
 
 from pyarrow import fs
+from pyspark.sql import DataFrame
+
+READERS = 4_096  # tasks that share the files of a collection
 
 
 def locate(path: str) -> tuple[fs.FileSystem, str]:
@@ -17,6 +20,14 @@ def locate(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def apart(files: DataFrame) -> DataFrame:
+    """A row per file, dealt one by one to as many tasks as there are files, ``READERS`` at most.
+
+    The number keeps adaptive execution from merging the tiny rows into one task that reads all files.
+    """
+    return files.repartition(max(1, min(files.count(), READERS)))
+
+
 class AttemptFile:
     """A new file whose name no other attempt of the task shares; only a committed manifest row makes it count."""
 

@@ -30,7 +30,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from caseweave.llm.files import AttemptFile, open_file
+from caseweave.llm.files import READERS, AttemptFile, apart, open_file
 from caseweave.llm.memo import Memo
 from caseweave.session import scratch_path, stored
 
@@ -79,8 +79,11 @@ class WordEncoder:
         return cls._loaded[path]
 
     def _words(self, words: list[bytes]) -> list[bytes]:
-        out, rest = [b""] * len(words), []
+        out, rest, ascii_plain = [b""] * len(words), [], self.plain is not None
         for i, word in enumerate(words):
+            if ascii_plain and word.isalpha():  # ASCII letters only
+                out[i] = self._piece(word.lower().decode(), False)
+                continue
             found = self.plain and self.plain.fullmatch(text := word.decode())
             if found:
                 letters, marks = found.groups()
@@ -92,11 +95,11 @@ class WordEncoder:
             out[i] = struct.pack(f"<{len(own.ids)}I", *own.ids)
         return out
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: str, accented: bool = True) -> bytes:
         """Ids of one pre-token, by the library's model itself."""
         known = self.pieces.get(piece)
         if known is None:
-            ids = [token.id for token in self.model.tokenize(piece.translate(self.mapped))]
+            ids = [token.id for token in self.model.tokenize(piece.translate(self.mapped) if accented else piece)]
             known = struct.pack(f"<{len(ids)}I", *ids)
             if len(self.pieces) >= MEMO_WORDS:
                 self.pieces.clear()
@@ -220,7 +223,10 @@ def write(
 
 
 def read(manifest: DataFrame) -> DataFrame:
-    """Every document of the files: ``start`` (ids before it in the whole collection), ``n_tokens``, ``ids_crc32``."""
+    """Every document of the files: ``start`` (ids before it in the whole collection), ``n_tokens``, ``ids_crc32``.
+
+    A file is read by one task, and up to ``READERS`` tasks share the files.
+    """
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = manifest.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
 
@@ -237,7 +243,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 names = ("doc_id", "start", "n_tokens", "ids_crc32")
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
 
-    return files.repartition(F.col("path")).mapInArrow(scan, DOCUMENTS)
+    return apart(files).mapInArrow(scan, DOCUMENTS)
 
 
 def index(manifest: DataFrame) -> DataFrame:
@@ -254,7 +260,7 @@ def index(manifest: DataFrame) -> DataFrame:
                                       ("size", pa.int64()), ("raw_size", pa.int64()), ("checksum", pa.int64())]),
                 )
 
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(scan, INDEX)
+    return apart(manifest.select("path")).mapInArrow(scan, INDEX)
 
 
 def fetch(located: DataFrame) -> DataFrame:
@@ -271,5 +277,7 @@ def fetch(located: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
                 yield pa.RecordBatch.from_arrays([pa.array([row["doc_id"]], pa.int64()), lists], ["doc_id", "ids"])
 
-    ordered = located.repartition(F.col("path"), F.expr("frame div 4096")).sortWithinPartitions("path", "offset")
+    stretch = F.expr("frame div 4096")
+    n = located.select("path", stretch).distinct().count()
+    ordered = located.repartition(max(1, min(n, READERS)), "path", stretch).sortWithinPartitions("path", "offset")
     return ordered.mapInArrow(take, "doc_id long, ids array<long>")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from caseweave.llm.files import AttemptFile, open_file
+from caseweave.llm.files import AttemptFile, apart, open_file
 from caseweave.session import scratch_path, stored
 
 VERSION, GZIP, CRLF = b"WARC/1.", b"\x1f\x8b\x08", b"\r\n"
@@ -296,7 +296,7 @@ def read(paths: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return paths.select("path").repartition(F.col("path")).mapInArrow(scan, RECORDS)
+    return apart(paths.select("path")).mapInArrow(scan, RECORDS)
 
 
 def log_gaps(records: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from caseweave.session import stored
+from caseweave.session import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,7 +23,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         hung = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(hung.unionByName(lowest.withColumnRenamed("m", "b")).where("a <> b").distinct(), "edges")
+        edges, older = stored(hung.unionByName(lowest.withColumnRenamed("m", "b")).where("a <> b").distinct(), "edges"), edges
+        discard(older)
         state = edges.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")
         ).first()
@@ -32,4 +33,6 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
     centres = edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
-    return stored(edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(centres), "components")
+    labels = stored(edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(centres), "components")
+    discard(edges)
+    return labels

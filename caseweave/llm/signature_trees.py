@@ -15,8 +15,9 @@ of these edges are the groups in which all links lie.
 of their sizes and how many n-grams a bitmap can hide. A pair of nodes is dropped when the sizes are too far apart, when
 the most n-grams that they can share are too few, or when all their sets are linked already; otherwise its children are
 paired. Pairs of sets that remain are compared exactly. A group with more than ``BLOCK`` n-grams is cut into blocks, one
-tree each; then one set per component of each block meets in further trees, and the pairs of blocks that still hold
-different components are traversed. So no task holds more than two blocks, and linked blocks are not paired.
+tree each; sets whose rarest common key is the same lie in one block. Two blocks are then traversed with those of their
+sets that share a key with a set of the other block in another component, so texts go only where a link can be, and no
+task holds more than two blocks.
 
 Similarities are compared in integers. Defined results: a null text, an empty one and one without words have no
 n-grams and are linked with nothing; a shorter text than ``n`` words has its whole sequence as its one n-gram; rows that
@@ -34,10 +35,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from caseweave.llm.byte_bpe import slices
 from caseweave.llm.components import components
-from caseweave.session import stored
+from caseweave.llm.hot import looked_up
+from caseweave.session import discard, stored
 
 SMALL, RATIO_PCT = 128, 150
-BLOCK, BROADCAST_ROWS = 2_000_000, 500_000
+BLOCK, BROADCAST_ROWS = 500_000, 500_000
 BITS, LEAF, FAN = 4096, 8, 4
 FEW = 4  # a part that so few rows share is never passed over
 SETS = (
@@ -166,8 +168,8 @@ def sets_of(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return stored(docs.mapInArrow(cut, SETS), "shingle-sets")
 
 
-def groups(sets: DataFrame, percent: int) -> DataFrame:
-    """``node`` and ``label`` of the nodes that share a meeting place with another."""
+def meetings(sets: DataFrame, percent: int) -> DataFrame:
+    """``node``, ``key``, ``n``: the keys that each node shares with others and does not pass over; ``n`` rows have it."""
     parts = sets.select("node", F.lit(0).alias("band"), "spare", F.explode("keys").alias("key")).unionByName(
         sets.select("node", F.lit(1).alias("band"), F.col("above_spare").alias("spare"), F.explode("above").alias("key"))
     )
@@ -182,14 +184,22 @@ def groups(sets: DataFrame, percent: int) -> DataFrame:
     # One shuffle of all keys; most are of one set and go. A set has many keys, so many copies of one text make many
     # large keys and not one.
     met = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").distinct()
-    shared = stored(
+    return stored(
         met.withColumn("place", F.row_number().over(Window.partitionBy("node", "band").orderBy(F.desc("n"), "key")))
-        .where((F.col("place") > F.col("spare")) | (F.col("n") <= FEW)).select("node", "key"),
+        .where((F.col("place") > F.col("spare")) | (F.col("n") <= FEW)).select("node", "key", "n"),
         "shared-keys",
     )
-    roots = shared.groupBy("key").agg(F.min("node").alias("b"))
-    hung = shared.join(roots, "key").where("node <> b")
-    return components(hung.select(F.col("node").alias("a"), "b").distinct())
+
+
+def groups(shared: DataFrame) -> DataFrame:
+    """``node``, ``label`` of its group, and ``home``: the smallest node of the rarest key that it shares."""
+    roots = shared.groupBy("key").agg(F.min("node").alias("root"), F.count(F.lit(1)).alias("rows"))
+    hung = stored(looked_up(shared, roots, "key", "rows", shared.count()).select("node", "root", "n"), "hung")
+    labels = components(hung.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
+    homes = hung.groupBy("node").agg(F.min(F.struct("n", "root")).alias("least")).select("node", F.col("least.root").alias("home"))
+    found = stored(labels.join(homes, "node"), "groups")
+    discard(hung, labels)
+    return found
 
 
 class Tree:
@@ -285,7 +295,8 @@ def traverse(rows: list[tuple[int, int, int, str]], shingler: Shingler, percent:
     All rows of side 0 are compared with each other, or with those of side 1 if there are any. Sets with one label
     are linked already.
     """
-    sets = shingler([row[3].encode() for row in rows])
+    texts = [row[3].encode() for row in rows]
+    sets = [own for start, stop in slices([len(text) for text in texts]) for own in shingler(texts[start:stop])]
     real = [i for i, row in enumerate(rows) if len(sets[i]) and node_of(sets[i]) == row[1]]  # not another text of the id
     rows, sets = [rows[i] for i in real], [sets[i] for i in real]
     sides = sorted({row[0] for row in rows})
@@ -329,23 +340,33 @@ def join(
 ) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest id that links lead to) of each row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = sets_of(rows, n, percent)
-    grouped = groups(sets, percent)
+    keyed = sets_of(rows, n, percent)
+    sets = stored(keyed.select("doc_id", "node", "n_shingles"), "sets")
+    shared = meetings(keyed, percent)
+    discard(keyed)
+    grouped = groups(shared)
     members = stored(
         sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
         .where("doc_id IS NOT NULL").join(grouped, "node"),
         "group-members",
     )
-    # Groups of more than a block are cut; rows of one hash stay together and blocks have about the same size.
-    cuts = members.groupBy("label").agg(F.ceil(F.sum("n") / block).cast("int").alias("n_blocks"))
-    dealt = members.join(cuts, "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
-    few = members.count() <= BROADCAST_ROWS
-    wanted = F.broadcast(dealt) if few else dealt
-    with_text = stored(rows.join(wanted, "doc_id").withColumn("side", F.lit(0)), "group-texts")
-    one = with_text.select(F.xxhash64("label", "block").alias("task"), "side", "node", F.col("node").alias("label"), "text")
+    n_members = members.count()
+    # Groups of more than a block are cut into blocks of about the same size; a home of moderate size stays together.
+    cuts = members.groupBy("label").agg(F.ceil(F.sum("n") / block).cast("int").alias("n_blocks"), F.count(F.lit(1)).alias("rows"))
+    homes = members.groupBy("home").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("rows"))
+    dealt = looked_up(looked_up(members, cuts, "label", "rows", n_members), homes, "home", "rows", n_members)
+    kin = F.when(F.col("held") * 4 <= block, F.col("home")).otherwise(F.col("node"))
+    dealt = stored(dealt.withColumn("block", F.pmod(F.xxhash64(kin), F.col("n_blocks")).cast("int")).drop("home", "held"), "dealt")
+    discard(grouped, members)
+    wanted = F.broadcast(dealt) if n_members <= BROADCAST_ROWS else dealt
+    one = rows.join(wanted, "doc_id").select(
+        F.xxhash64("label", "block").alias("task"), F.lit(0).alias("side"), "node", F.col("node").alias("label"), "text"
+    )
     links = stored(linked(one, n, percent), "links")
-    if with_text.where("n_blocks > 1").take(1):
-        links = across_blocks(with_text.where("n_blocks > 1"), links, n, percent, block)
+    large = dealt.where("n_blocks > 1")
+    if large.take(1):
+        links = across_blocks(rows, large, shared, links, n, percent)
+    discard(shared, dealt)
     labels = components(links).withColumnRenamed("label", "component")
     nodes = sets.select("doc_id", "node", "n_shingles")
     classed = nodes.join(labels, "node", "left").withColumn(
@@ -357,31 +378,33 @@ def join(
     )
 
 
-def across_blocks(texts: DataFrame, links: DataFrame, n: int, percent: int, block: int) -> DataFrame:
-    """All links of groups of several blocks: those within blocks, then those of one set per component and block, then
-    those of the pairs of blocks that still hold different components."""
+def across_blocks(rows: DataFrame, large: DataFrame, shared: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
+    """The links found so far and those between the blocks of groups of several (``large``).
 
-    def labelled(found: DataFrame) -> DataFrame:
-        own = components(found).withColumnRenamed("label", "component")
-        return texts.join(own, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-    now = labelled(links)
-    hubs = now.withColumn("place", F.row_number().over(
-        Window.partitionBy("label", "block", "component").orderBy(F.desc("n"), "node"))).where("place = 1")
-    hub_blocks = Window.partitionBy("label")
-    hubs = hubs.withColumn("parts", F.ceil(F.sum("n").over(hub_blocks) / block).cast("int")).select(
-        F.xxhash64("label", F.pmod(F.xxhash64("component"), F.col("parts")), F.lit("hubs")).alias("task"),
-        "side", "node", F.col("component").alias("label"), "text",
+    Linked sets share a key. So a set goes to another block if a set there has a key of it and is not known to be of its
+    component; both ids decide that, and only then texts are read.
+    """
+    labels = components(links)
+    own = labels.withColumnRenamed("label", "component")
+    placed = large.select("node", "doc_id", "label", "block").join(own, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
     )
-    links = stored(links.unionByName(linked(hubs, n, percent)), "links")
-    now = stored(labelled(links), "labelled-blocks")
-    held = now.groupBy("label", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    pairs = held.alias("x").join(held.alias("y"), (F.col("x.label") == F.col("y.label")) & (F.col("x.block") < F.col("y.block")))
-    pairs = pairs.where("x.low <> x.high OR y.low <> y.high OR x.low <> y.low").select(
-        F.col("x.label").alias("label"), F.array(F.col("x.block"), F.col("y.block")).alias("pair")
+    held = stored(shared.select("node", "key").join(placed, "node"), "keys-of-blocks")
+    blocks = held.groupBy("key", "block").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows")
     )
-    sides = pairs.select("label", "pair", F.posexplode("pair").alias("side", "block"))
-    tasks = now.drop("side").join(sides, ["label", "block"]).select(
-        F.xxhash64("label", "pair").alias("task"), "side", "node", F.col("component").alias("label"), "text"
+    # A key's blocks are blocks of one group.
+    blocks = blocks.groupBy("key").agg(F.collect_list(F.struct("block", "low", "high")).alias("blocks"), F.sum("rows").alias("rows"))
+    met = looked_up(held, blocks.where(F.size("blocks") > 1), "key", "rows", held.count())
+    other = F.filter("blocks", lambda o: (o["block"] != F.col("block")) & ((o["low"] != F.col("component")) | (o["high"] != F.col("component"))))
+    sent = met.select("doc_id", "node", "label", "block", "component", F.explode(other).alias("o")).select(
+        "doc_id", "node", "component", F.xxhash64("label", F.least("block", "o.block"), F.greatest("block", "o.block")).alias("task"),
+        (F.col("block") > F.col("o.block")).cast("int").alias("side"),
     )
-    return stored(links.unionByName(linked(tasks, n, percent)), "links")
+    sent = stored(sent.distinct(), "sent-sets")
+    discard(held)
+    wanted = F.broadcast(sent) if sent.count() <= BROADCAST_ROWS else sent
+    tasks = rows.join(wanted, "doc_id").select("task", "side", "node", F.col("component").alias("label"), "text")
+    found = stored(links.unionByName(linked(tasks, n, percent)), "links")
+    discard(sent, links, labels)
+    return found

@@ -705,7 +705,7 @@ def _(spark, folder):
 
 
 @register("m7_source_silhouette", f"""{_BY_SOURCE},
-picked AS (SELECT id, cluster FROM all_texts ORDER BY {sql.seeded(42, 'id')}, id LIMIT 150),
+picked AS (SELECT id, cluster FROM all_texts ORDER BY {sql.seeded(42, 'id')}, id LIMIT {clusters.SILHOUETTE_ROWS}),
 dots AS (SELECT a.id AS a, b.id AS b, sum(a.w * b.w) AS dot FROM w a JOIN w b USING (term)
   WHERE a.id IN (SELECT id FROM picked) AND b.id IN (SELECT id FROM picked) GROUP BY a.id, b.id),
 norms AS (SELECT id, sum(w * w) AS n FROM w GROUP BY id),
@@ -719,8 +719,8 @@ SELECT CAST(1 AS INTEGER) AS k, round(avg(CASE WHEN inner_d IS NULL THEN 0
   ELSE (outer_d - inner_d) / greatest(inner_d, outer_d) END), 6) AS silhouette_score FROM sides""")
 def _(spark, folder):
     _, vectors, assigned = _by_source(spark, folder)
-    picked = sampling.sample_rows(assigned, "id", 150)
-    number = F.dense_rank().over(Window.orderBy("cluster"))  # of at most 150 rows
+    picked = sampling.sample_rows(assigned, "id", clusters.SILHOUETTE_ROWS)
+    number = F.dense_rank().over(Window.orderBy("cluster"))  # of at most SILHOUETTE_ROWS rows
     rows = picked.withColumn("number", number).join(vectors, "id")
     return _rounded(clusters.silhouette(rows.select(
         F.lit(1).alias("k"), "id", "indices", "weights", F.col("number").alias("cluster"))), "silhouette_score")

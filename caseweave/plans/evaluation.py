@@ -116,8 +116,7 @@ def matched_rows(with_evidence: DataFrame) -> DataFrame:
     )
 
 
-def judge_prompts(agent: DataFrame, retrieved: DataFrame, n: int | None = 30, seed: int = 42,
-                  rubric: str = judging.RUBRIC) -> DataFrame:
+def judge_prompts(agent: DataFrame, retrieved: DataFrame, rubric: str, n: int | None = 30, seed: int = 42) -> DataFrame:
     """(example_id, query, response, prompt) of a seeded sample of ``n`` responses, or of all of them."""
     schema.require_columns(agent, schema.AGENT_EVALUATION_COLUMNS, "agent evaluation")
     sample = agent if n is None else sample_rows(agent, "example_id", n, seed)
@@ -160,9 +159,11 @@ def parse_scores(scored: DataFrame) -> DataFrame:
     )
 
 
-def judge(agent: DataFrame, retrieved: DataFrame, scorer: Callable[[str], str], n: int | None = 30) -> DataFrame:
+def judge(
+    agent: DataFrame, retrieved: DataFrame, scorer: Callable[[str], str], rubric: str, n: int | None = 30,
+) -> DataFrame:
     """Prompts, the caller's scorer and parsed scores of a sample of responses."""
-    return parse_scores(score_prompts(judge_prompts(agent, retrieved, n), scorer))
+    return parse_scores(score_prompts(judge_prompts(agent, retrieved, rubric, n), scorer))
 
 
 def judge_summary(judged: DataFrame) -> DataFrame:

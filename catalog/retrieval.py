@@ -530,6 +530,12 @@ def _(spark, folder):
     )
 
 
+_RUBRIC = (
+    "Answer with one JSON object: a whole number from 1 (worst) to 5 (best) for each of "
+    + ", ".join(judging.DIMENSIONS) + ', and your grounds in one sentence as "reason".'
+)
+
+
 def _section_sql():
     return """chr(10) || '--- Historical Case ' || rank || ' ---' || chr(10) || chr(10) || 'Historical Customer:' || chr(10)
     || customer_case || chr(10) || chr(10) || 'Historical Support Response:' || chr(10) || coalesce(support_response, '')
@@ -552,7 +558,7 @@ REPLY:
 AVAILABLE HISTORICAL EVIDENCE:
 {mark}e{mark}
 
-{judging.RUBRIC}
+{_RUBRIC}
 
 Use only the message, the reply and the evidence. Be strict.
 """
@@ -571,7 +577,7 @@ def _(spark, folder):
     agent = evaluation.golden_queries(_golden_set(spark, folder)).select(
         F.col("query_id").alias("example_id"), "query", F.lit(lexicon.REPLY_CLARIFY).alias("response")
     )
-    return evaluation.judge_prompts(agent, records, n=None)
+    return evaluation.judge_prompts(agent, records, _RUBRIC, n=None)
 
 
 def _stub_scorer(prompt):
@@ -603,7 +609,7 @@ def _(spark, folder):
     agent = evaluation.golden_queries(_golden_set(spark, folder)).select(
         F.col("query_id").alias("example_id"), "query", F.lit(lexicon.REPLY_CLARIFY).alias("response")
     )
-    return evaluation.judge(agent, records, _stub_scorer, n=None)
+    return evaluation.judge(agent, records, _stub_scorer, _RUBRIC, n=None)
 
 
 @register("a23_judge_summary", """WITH j AS (

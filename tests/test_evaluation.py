@@ -37,11 +37,11 @@ def test_missing_columns_raise(spark):
 
 
 def test_prompt_holds_message_reply_and_evidence(spark):
-    rows = {r["example_id"]: r["prompt"] for r in evaluation.judge_prompts(_agent(spark), _retrieved(spark)).collect()}
+    rows = {r["example_id"]: r["prompt"] for r in evaluation.judge_prompts(_agent(spark), _retrieved(spark), "Be fair.").collect()}
     assert "\n--- Historical Case 1 ---\n\nHistorical Customer:\nc a\n" in rows[1]
     # A tie at the third decimal goes to the even digit.
     assert "Intent compatibility:\n0.125\n" in rows[1] and "score:\n0.738\n" in rows[1] and "score:\n0.406\n" in rows[1]
-    assert lexicon.NO_EVIDENCE in rows[2] and "CUSTOMER MESSAGE:\nq2" in rows[2] and judging.RUBRIC in rows[2]
+    assert lexicon.NO_EVIDENCE in rows[2] and "CUSTOMER MESSAGE:\nq2" in rows[2] and "\n\nBe fair.\n\n" in rows[2]
 
 
 def _parse(spark, *raw):
@@ -69,7 +69,7 @@ def test_a_failing_scorer_keeps_the_other_rows(spark):
             raise RuntimeError("offline")
         return '{"groundedness": 5, "overall": 3, "reason": "fine"}'
 
-    judged = evaluation.judge(_agent(spark), _retrieved(spark), scorer)
+    judged = evaluation.judge(_agent(spark), _retrieved(spark), scorer, "Be fair.")
     rows = {r["example_id"]: r for r in judged.collect()}
     assert (rows[1]["overall"], rows[1]["reason"]) == (3, "fine")
     assert (rows[2]["overall"], rows[2]["reason"]) == (None, "Judge error: offline")

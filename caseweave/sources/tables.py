@@ -5,23 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from caseweave import schema
+from caseweave.sources import quoted
 
 
 def read_messages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The raw CSV export as a MESSAGE table.
 
-    Quoted texts may hold line breaks, and then Spark cannot split a file: export many files, or pass
-    ``multi_line=False`` for a file that is known to hold one record per line. Convert to parquet once and read
-    that afterwards.
+    Quoted texts may hold line breaks; files are split all the same (``sources/quoted.py``). ``multi_line=False`` is for
+    files known to hold one record per line and reads them once instead of twice. Convert to parquet once and read that
+    afterwards.
     """
-    raw = (
-        spark.read.schema(schema.RAW_MESSAGE)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    if multi_line:
+        return coerce_messages(quoted.read_csv(spark, path, schema.RAW_MESSAGE))
+    raw = spark.read.schema(schema.RAW_MESSAGE).option("header", True).option("escape", '"').csv(path)
     return coerce_messages(raw)
 
 
@@ -42,9 +38,7 @@ def read_table(spark: SparkSession, path: str, columns: T.StructType) -> DataFra
     """A whole CSV file with a declared schema; parquet by suffix."""
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(columns).parquet(path)
-    return (
-        spark.read.schema(columns).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    )
+    return quoted.read_csv(spark, path, columns)
 
 
 def decode_conversation(raw: Column) -> Column:

@@ -11,7 +11,7 @@ from caseweave import schema
 from caseweave.functions import judging
 from caseweave.operators import tfidf
 from caseweave.operators.metrics import score_means
-from caseweave.operators.relational import add_constants, dense_row_id, value_counts
+from caseweave.operators.relational import add_constants, dense_row_id, require_rows, value_counts
 from caseweave.operators.retrieval import retrieve, with_case_texts
 from caseweave.operators.sampling import sample_rows
 from caseweave.plans.triage import triage
@@ -32,8 +32,9 @@ def golden_queries(golden: DataFrame) -> DataFrame:
 
 
 def evaluate_agent(golden: DataFrame, cases: DataFrame, text_model: tfidf.TfidfModel, **options) -> DataFrame:
-    """Triage of every golden row next to its gold labels."""
-    queries = golden_queries(golden)
+    """Triage of every golden row next to its gold labels; no such row or no case is an error."""
+    queries = require_rows(golden_queries(golden), "evaluation rows")
+    require_rows(cases, "historical cases")
     results = triage(queries, cases, text_model, case_texts=False, **options).drop("query", "retrieved_cases")
     return queries.join(results, "query_id").select(
         F.col("query_id").alias("example_id"), "query", "gold_intent", F.col("intent").alias("predicted_intent"),
@@ -55,8 +56,9 @@ def evaluation_counts(evaluated: DataFrame) -> DataFrame:
 
 def evaluate_retrieval(golden: DataFrame, cases: DataFrame, text_model: tfidf.TfidfModel, top_k: int = 3,
                        **options) -> DataFrame:
-    """Retrieved cases of every golden row, using its gold intent."""
-    queries = golden_queries(golden)
+    """Retrieved cases of every golden row, using its gold intent; no such row or no case is an error."""
+    queries = require_rows(golden_queries(golden), "evaluation rows")
+    require_rows(cases, "historical cases")
     ranked = retrieve(queries.withColumnRenamed("gold_intent", "intent"), cases, text_model, top_k, **options)
     named = with_case_texts(ranked, cases).join(queries.select("query_id", "query", "gold_intent"), "query_id")
     return named.select(

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from caseweave.functions import judging, lexicon
@@ -92,3 +93,15 @@ def test_golden_rows_without_label_are_dropped(spark):
     )
     rows = evaluation.golden_queries(golden).collect()
     assert [(r["query_id"], r["gold_escalation"], r["gold_resolution"]) for r in rows] == [(1, "YES", "")]
+
+
+@pytest.mark.parametrize("plan", [evaluation.evaluate_agent, evaluation.evaluate_retrieval])
+def test_nothing_to_evaluate_raises(spark, plan):
+    golden = spark.createDataFrame([(1, "no sound", "playback")], "annotation_id long, clean_text string, intent string")
+    cases = spark.createDataFrame(
+        [(1, "no sound", "restart")], "case_id long, customer_case string, support_response string"
+    )
+    with pytest.raises(RuntimeError, match="No evaluation rows remain"):
+        plan(golden.where("intent = 'other'"), cases, None)
+    with pytest.raises(RuntimeError, match="No historical cases remain"):
+        plan(golden, cases.where("case_id > 1"), None)

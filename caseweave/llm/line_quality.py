@@ -24,7 +24,7 @@ from caseweave.session import stored
 WINDOW = 5
 BROADCAST_LINES = 200_000
 HOST_LINES = 2_000
-MOST = 20  # the commonest line of the supplied tables is in 43 to 65 of the about 500 texts of each host at sf0.1
+MOST = 20  # twice what a line needs in a small host: by then it is a template's, however large the host
 
 
 def let(value: Column, use) -> Column:

@@ -85,7 +85,7 @@ k AS (SELECT *, trim(regexp_replace(lower(line), '[ 	-
 ]+', ' ', 'g'), ' ') AS normal FROM l),
 c AS (SELECT host, normal, count(DISTINCT text) AS n FROM k WHERE normal <> '' GROUP BY ALL),
 t AS (SELECT host, count(DISTINCT text) AS total FROM d GROUP BY host),
-hot AS (SELECT host, normal FROM c JOIN t USING (host) WHERE n > 10 AND n > total * CAST(0.1 AS DOUBLE)),
+hot AS (SELECT host, normal FROM c JOIN t USING (host) WHERE n > 10 AND (n > total * CAST(0.1 AS DOUBLE) OR n > 20)),
 gone AS (SELECT doc_id, sum(len(regexp_extract_all(line, '[^ 	-
 ]+'))) AS gone
   FROM k JOIN hot USING (host, normal) GROUP BY doc_id),

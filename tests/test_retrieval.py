@@ -118,6 +118,20 @@ def _collect(ranked, column):
     return found
 
 
+def test_top_k_copies_no_vector_per_block_of_the_other_side(spark, monkeypatch):
+    for name in ("CASE_ENTRIES", "QUERY_ENTRIES", "SMALL_PRODUCT"):
+        monkeypatch.setattr(similarity, name, 20)
+    rng = random.Random(4)
+    rows = [(i, sorted(rng.sample(range(12), 4)), [0.5] * 4) for i in range(60)]
+    cases = spark.createDataFrame(rows, "case_id long, indices array<int>, weights array<double>")
+    ranked = similarity.top_k(cases.withColumnRenamed("case_id", "query_id"), cases, 3)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "CoGroup" not in plan
+    common = [[len({*a[1]} & {*b[1]}) / 4 for b in rows] for a in rows]
+    best = {i: sorted((-x, j) for j, x in enumerate(line))[:3] for i, line in enumerate(common)}
+    assert _collect(ranked, "similarity") == {i: [(j, pytest.approx(-x)) for x, j in own] for i, own in best.items()}
+
+
 @pytest.mark.parametrize("entries, rows, cells, expansion", [
     (10**6, 10**4, 10**6, 10**6), (50, 7, 10**6, 10**6), (200, 20, 64, 50),
 ])

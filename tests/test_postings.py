@@ -65,6 +65,20 @@ def test_search_equals_brute_force(spark, monkeypatch, k, ws, wc, least, slice_,
     assert got == _expected(queries, cases, k, ws, wc)
 
 
+def test_search_of_common_terms_shuffles_no_products(spark, monkeypatch):
+    monkeypatch.setattr(postings, "FEW_PRODUCTS", 0)
+    cases = [(c, {0: 1.0, 1: 1.0 + c % 3, 2 + c % 5: 2.0}, [c % 2 / 2]) for c in range(120)]
+    queries = [(q, {0: 1.0, 1: 2.0, 2 + q % 5: 1.0}, q % 2 - 1) for q in range(40)]
+    index = postings.build(_vectors(spark, cases, "case_id", "array<double>"), depth=3)
+    ranked = postings.search(_vectors(spark, queries, "query_id"), index, 3, 0.75, 0.25)
+    assert "CartesianProduct" in ranked._jdf.queryExecution().executedPlan().toString()
+    assert _found(ranked) == _expected(queries, cases, 3, 0.75, 0.25)
+    rare = [(q, {2 + q: 1.0, 1000 + q: 2.0}, -1) for q in range(5)]  # few postings share a term with them
+    ranked = postings.search(_vectors(spark, rare, "query_id"), index, 3)
+    assert "CartesianProduct" not in ranked._jdf.queryExecution().executedPlan().toString()
+    assert _found(ranked) == _expected(rare, cases, 3, 1.0, 0.0)
+
+
 def test_top_k_takes_the_index_beyond_a_small_product(spark, monkeypatch):
     queries, cases = _tables(11)
     q, c = _vectors(spark, queries, "query_id"), _vectors(spark, cases, "case_id", "array<double>")

@@ -71,9 +71,7 @@ def cluster_terms(
 ) -> DataFrame:
     """(cluster, size, rank, term, weight): the terms with the greatest mean weight per cluster."""
     sizes = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    sums = tfidf.postings(vectors, model).join(assigned, "id").groupBy("cluster", "term").agg(
-        F.sum("weight").alias("_sum")
-    )
+    sums = tfidf.group_sums(vectors.join(assigned, "id"), model, "cluster")
     means = sums.join(F.broadcast(sizes), "cluster").withColumn("weight", F.col("_sum") / F.col("size"))
     order = Window.partitionBy("cluster").orderBy(F.desc(F.round("weight", blocks.DECIMALS)), "term")
     ranked = means.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

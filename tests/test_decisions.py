@@ -113,3 +113,9 @@ def test_classify_without_a_model(spark):
     df = spark.createDataFrame([(1, "refund please"), (2, "hello")], "id long, text string")
     got = {r["id"]: (r["intent"], r["confidence"], r["source"]) for r in classify.classify(df).collect()}
     assert got == {1: ("BILLING_PAYMENT", 0.99, "rule"), 2: ("OTHER", 0.0, "default")}
+
+
+def test_patterns_are_tried_only_at_their_first_letters():
+    assert decisions.any_pattern([r"\bque\b", r"\btion(s)?\b"]).startswith("(?=[qt])")
+    for patterns in ([r"\bab|cd\b"], [r"\bx?y\b"], [r"\b(a|b)c\b"]):  # these may begin otherwise
+        assert not decisions.any_pattern(patterns).startswith("(?=")

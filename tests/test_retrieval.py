@@ -253,3 +253,22 @@ def test_triage_without_cases_clarifies(spark):
     messages = spark.createDataFrame([(1, "app song")], "query_id long, query string")
     row = triage_plan.triage(messages, cases, model).first()
     assert (row["action"], row["retrieval_similarity"], row["retrieved_cases"]) == ("CLARIFY", 0.0, [])
+
+
+def test_transform_shuffles_a_row_per_text_and_not_per_term(spark, monkeypatch):
+    monkeypatch.setattr(tfidf, "TEXTS", 3)
+    texts = _texts(20, 7) + ["", "the app the app", "zzz"]
+    docs = _docs(spark, texts).unionByName(spark.createDataFrame([(0, "app crash"), (900, None)], "id long, text string"))
+    params = tfidf.TfidfParams(min_df=1, max_df=1.0, stop_words=("the",))
+    model, vectors = tfidf.fit_transform(docs, params)
+    assert "Generate" not in vectors._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(tfidf, "SMALL_VOCABULARY", 0)  # entries are joined and grouped instead
+    expected = {r["id"]: r for r in tfidf.transform(docs, model).collect()}
+    found = {r["id"]: r for r in vectors.collect()}
+    assert found.keys() == expected.keys()
+    for key, row in found.items():
+        assert row["indices"] == expected[key]["indices"]
+        assert row["weights"] == pytest.approx(expected[key]["weights"], abs=1e-12)
+    counted = tfidf._exploded(tfidf.term_counts(docs, params.stop_words))
+    totals = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    assert sorted(map(tuple, totals.collect())) == sorted(map(tuple, model.vocabulary.select("term", "df", "total").collect()))

@@ -24,12 +24,15 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from caseweave.llm.byte_bpe import slices
 from caseweave.llm.files import READERS, AttemptFile, apart, open_file
 from caseweave.llm.memo import Memo
 from caseweave.session import scratch_path, stored
@@ -37,7 +40,7 @@ from caseweave.session import scratch_path, stored
 DOC_FRAME, SEEK_FRAME, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 ENTRY, DOC, ENTRY_BYTES, DOC_BYTES = "<III", "<Bq", 12, 9
 FILE_BYTES = 32 << 20
-MEMO_WORDS, MEMO_LENGTH, SLICE_ROWS = 900_000, 48, 256
+MEMO_WORDS, MEMO_LENGTH = 900_000, 48
 
 # Latin letters, then ASCII marks that no special token begins with.
 PLAIN = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:;=-@\[-`{-~]*)"
@@ -80,14 +83,16 @@ class WordEncoder:
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         out, rest, ascii_plain = [b""] * len(words), [], self.plain is not None
+        known = self.pieces.get  # no piece has no ids
         for i, word in enumerate(words):
             if ascii_plain and word.isalpha():  # ASCII letters only
-                out[i] = self._piece(word.lower().decode(), False)
+                out[i] = known(piece := word.lower().decode()) or self._piece(piece, False)
                 continue
             found = self.plain and self.plain.fullmatch(text := word.decode())
             if found:
                 letters, marks = found.groups()
-                out[i] = self._piece(letters.lower()) + (self._piece(marks) if marks else b"")
+                own = known(piece := letters.lower()) or self._piece(piece)
+                out[i] = own + (known(marks) or self._piece(marks)) if marks else own
             else:
                 rest.append(i)
         encoded = self.tokenizer.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False)
@@ -120,9 +125,21 @@ class WordEncoder:
                 return None
         return pattern
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers, without an end id."""
-        return self.memo.joined([(text or "").encode().split() for text in texts])
+    def __call__(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers, without an end id.
+
+        The memo is asked once per distinct word of ``texts``; the ids of the words in turn are then taken from an array.
+        """
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = lists.flatten().dictionary_encode()
+        packed = self.memo.each(words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+        taken = pa.array(packed, pa.large_binary()).take(words.indices)
+        _, offsets, data = taken.buffers()
+        # Where each text's ids end: behind those of its last word.
+        ends = np.frombuffer(offsets, np.int64)[np.cumsum(np.asarray(lists.value_lengths()))].tolist() if len(taken) else [0] * len(texts)
+        data = memoryview(data or b"")
+        return [bytes(data[start:stop]) for start, stop in zip([0, *ends], ends)]
 
 
 class FrameWriter:
@@ -196,9 +213,9 @@ def write(
             rows.append((part, len(rows), writer.file.path, len(writer.docs), writer.n_tokens))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                piece = batch.slice(at, SLICE_ROWS)
-                encoded = encoder(piece.column(1).to_pylist())
+            for at, stop in slices(pc.binary_length(batch.column(1)).fill_null(0).to_pylist()):
+                piece = batch.slice(at, stop - at)
+                encoded = encoder(piece.column(1))
                 for doc_id, ids in zip(piece.column(0).to_pylist(), encoded, strict=True):
                     writer = writer or FrameWriter(folder, f"part-{part:05d}-{len(rows):04d}", level)
                     writer.add(doc_id, ids + end)

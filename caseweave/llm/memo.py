@@ -18,11 +18,10 @@ class Memo:
         self.known: dict[Hashable, bytes] = {}
         self.elder: dict[Hashable, bytes] = {}
 
-    def joined(self, rows: list[list]) -> list[bytes]:
-        """For each row of keys the joined results. Only keys up to ``length`` stay known."""
+    def each(self, flat: list) -> list[bytes]:
+        """The result of each key. Only keys up to ``length`` stay known."""
         if len(self.known) > self.entries:
             self.known, self.elder = {}, self.known
-        flat = list(chain.from_iterable(rows))
         found = list(map(self.known.get, flat))
         holes, at = [], -1
         for _ in range(found.count(None)):
@@ -35,6 +34,11 @@ class Memo:
         for i in holes:
             found[i] = new[flat[i]]
         self.known.update((key, value) for key, value in new.items() if len(key) <= self.length)
+        return found
+
+    def joined(self, rows: list[list]) -> list[bytes]:
+        """For each row of keys the joined results."""
+        found = self.each(list(chain.from_iterable(rows)))
         out, at = [], 0
         for row in rows:
             out.append(b"".join(found[at : at + len(row)]))

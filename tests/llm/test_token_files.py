@@ -73,6 +73,15 @@ def test_words_encode_like_whole_texts(texts):
     assert [list(struct.unpack(f"<{len(g) // 4}I", g)) for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_each_distinct_word_of_a_slice_is_asked_once(monkeypatch):
+    encoder, asked = frames.WordEncoder.of(WORDS), []
+    monkeypatch.setattr(encoder.memo, "each", lambda keys, each=encoder.memo.each: asked.append(len(keys)) or each(keys))
+    texts = pa.array(["skipped", "one two  one\n", None, "", "two one\x1cx", " "])[1:]
+    got = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert [np.frombuffer(g, "<u4").tolist() for g in encoder(texts)] == got
+    assert asked == [4]  # one, two, one\x1cx and the empty word at the ends
+
+
 def test_byte_bpe_equals_the_library_and_decodes(spark, tiktoken_encoding):
     df = clashing(documents(spark)).drop("ids")
     encoded = byte_bpe.with_ids(df, RANKS, public_tokenizers.PATTERN)

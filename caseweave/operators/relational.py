@@ -31,21 +31,23 @@ def add_constants(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
 def dense_row_id(df: DataFrame, order: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
     """Number the rows 1..n in the order of ``order`` (a unique key) without a single-task sort.
 
-    Rows are range-partitioned and written once, so that the partition sizes and the row numbers come from
-    the same layout; only one size per partition travels on.
+    Rows are range-partitioned, sorted and written once together with their place in the partition, so that the
+    partition sizes and the row numbers come from the same layout; only one size per partition travels on.
     """
     session = df.sparkSession
     n = partitions or max(
         session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
     )
-    ranged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
+    place = F.monotonically_increasing_id()  # the partition's number in the upper 31 bits, the row's in the lower 33
+    sorted_parts = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = cut_lineage(sorted_parts.withColumn("_place", place)).withColumns({
+        "_part": F.shiftright("_place", 33), "_row": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + 1,
+    })
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     return (
-        ranged.withColumn("_row", inside)
-        .join(F.broadcast(offsets), "_part")  # at most n rows
+        ranged.join(F.broadcast(offsets), "_part")  # at most n rows
         .select((F.col("_offset") + F.col("_row")).alias(name), *df.columns)
     )
 

@@ -81,6 +81,15 @@ def test_dense_row_ids_follow_the_order(spark):
     assert [r["n"] for r in numbered] == list(range(1, 1001))
 
 
+def test_dense_row_ids_shuffle_the_rows_once(spark):
+    df = spark.createDataFrame([(k, v) for k in (None, 3, 1, 2) for v in ("b", None, "a")], "k int, v string")
+    numbered = relational.dense_row_id(df, ["k", "v"], "n", 3)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan  # a window over all rows would shuffle them again
+    wanted = [(i + 1, k, v) for i, (k, v) in enumerate((k, v) for k in (None, 1, 2, 3) for v in (None, "a", "b"))]
+    assert sorted(tuple(r) for r in numbered.collect()) == wanted
+
+
 def test_projection_helpers(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
     assert relational.project(df, ["c", "zz", "a"]).columns == ["c", "a"]

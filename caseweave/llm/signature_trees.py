@@ -170,8 +170,9 @@ def sets_of(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 def meetings(sets: DataFrame, percent: int) -> DataFrame:
     """``node``, ``key``, ``n``: the keys that each node shares with others and does not pass over; ``n`` rows have it."""
-    parts = sets.select("node", F.lit(0).alias("band"), "spare", F.explode("keys").alias("key")).unionByName(
-        sets.select("node", F.lit(1).alias("band"), F.col("above_spare").alias("spare"), F.explode("above").alias("key"))
+    # The tag is the band (own, above, small) and the number of parts to pass over, in one column of the large shuffle.
+    parts = sets.select("node", (F.col("spare") * 3).alias("tag"), F.explode("keys").alias("key")).unionByName(
+        sets.select("node", (F.col("above_spare") * 3 + 1).alias("tag"), F.explode("above").alias("key"))
     )
     small = sets.where(f"n_shingles BETWEEN 1 AND {SMALL}").select("node", "n_shingles", F.explode("small").alias("key")).distinct()
     frequency = small.groupBy("key").agg(F.count("*").alias("df"))
@@ -180,13 +181,13 @@ def meetings(sets: DataFrame, percent: int) -> DataFrame:
     rarest = small.join(frequency.where("df > 1"), "key", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn(
         "place", F.row_number().over(rare_first)
     ).where(F.col("place") <= prefix).where("df > 1").select("node", F.xxhash64("key", F.lit("small")).alias("key"))
-    keys = parts.unionByName(rarest.select("node", F.lit(2).alias("band"), F.lit(0).alias("spare"), "key"))
+    keys = parts.unionByName(rarest.select("node", F.lit(2).alias("tag"), "key"))
     # One shuffle of all keys; most are of one set and go. A set has many keys, so many copies of one text make many
     # large keys and not one.
     met = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").distinct()
     return stored(
-        met.withColumn("place", F.row_number().over(Window.partitionBy("node", "band").orderBy(F.desc("n"), "key")))
-        .where((F.col("place") > F.col("spare")) | (F.col("n") <= FEW)).select("node", "key", "n"),
+        met.withColumn("place", F.row_number().over(Window.partitionBy("node", "tag").orderBy(F.desc("n"), "key")))
+        .where((F.col("place") > F.floor(F.col("tag") / 3)) | (F.col("n") <= FEW)).select("node", "key", "n"),
         "shared-keys",
     )
 
@@ -381,27 +382,40 @@ def join(
 def across_blocks(rows: DataFrame, large: DataFrame, shared: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
     """The links found so far and those between the blocks of groups of several (``large``).
 
-    Linked sets share a key. So a set goes to another block if a set there has a key of it and is not known to be of its
-    component; both ids decide that, and only then texts are read.
+    Linked sets share a key. So a set goes to another block if sets there have a key of it, are of sizes that can be linked
+    to its own, and are not known to be of its component; ids and sizes decide that, and only then texts are read. A
+    set's other blocks are gathered over its keys before they become rows: one row per set and block that it goes to.
     """
     labels = components(links)
     own = labels.withColumnRenamed("label", "component")
-    placed = large.select("node", "doc_id", "label", "block").join(own, "node", "left").withColumn(
+    placed = large.select("node", "doc_id", "label", "block", F.col("n").alias("size")).join(own, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     held = stored(shared.select("node", "key").join(placed, "node"), "keys-of-blocks")
     blocks = held.groupBy("key", "block").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("size").alias("least"),
+        F.max("size").alias("most"), F.count(F.lit(1)).alias("rows"),
     )
     # A key's blocks are blocks of one group.
-    blocks = blocks.groupBy("key").agg(F.collect_list(F.struct("block", "low", "high")).alias("blocks"), F.sum("rows").alias("rows"))
-    met = looked_up(held, blocks.where(F.size("blocks") > 1), "key", "rows", held.count())
-    other = F.filter("blocks", lambda o: (o["block"] != F.col("block")) & ((o["low"] != F.col("component")) | (o["high"] != F.col("component"))))
-    sent = met.select("doc_id", "node", "label", "block", "component", F.explode(other).alias("o")).select(
-        "doc_id", "node", "component", F.xxhash64("label", F.least("block", "o.block"), F.greatest("block", "o.block")).alias("task"),
-        (F.col("block") > F.col("o.block")).cast("int").alias("side"),
+    blocks = blocks.groupBy("key").agg(
+        F.collect_list(F.struct("block", "low", "high", "least", "most")).alias("blocks"), F.sum("rows").alias("rows"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
+    ).where((F.size("blocks") > 1) & (F.col("low") < F.col("high"))).drop("low", "high")
+    met = looked_up(held, blocks, "key", "rows", held.count())
+
+    def open_to(o):
+        known = (o["low"] == F.col("component")) & (o["high"] == F.col("component"))
+        apart = (o["most"] * 100 < F.col("size") * percent) | (F.col("size") * 100 < o["least"] * percent)
+        return (o["block"] != F.col("block")) & ~known & ~apart
+
+    others = F.transform(F.filter("blocks", open_to), lambda o: o["block"])
+    met = met.select("doc_id", "node", "label", "block", "component", others.alias("others")).where(F.size("others") > 0)
+    met = met.groupBy("doc_id", "node", "label", "block", "component").agg(F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
+    sent = met.withColumn("other", F.explode("others")).select(
+        "doc_id", "node", "component", F.xxhash64("label", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"),
     )
-    sent = stored(sent.distinct(), "sent-sets")
+    sent = stored(sent, "sent-sets")
     discard(held)
     wanted = F.broadcast(sent) if sent.count() <= BROADCAST_ROWS else sent
     tasks = rows.join(wanted, "doc_id").select("task", "side", "node", F.col("component").alias("label"), "text")

@@ -73,6 +73,21 @@ def test_signature_trees_with_shuffled_texts_and_odd_rows(spark, monkeypatch):
     assert signature_trees.join(documents(spark, [])).count() == 0
 
 
+def test_sets_go_once_and_only_to_blocks_of_near_sizes(spark, monkeypatch):
+    kept, sent = signature_trees.stored, []
+    monkeypatch.setattr(signature_trees, "stored", lambda df, name: sent.extend(df.collect() if name == "sent-sets" else []) or kept(df, name))
+    large = [(1, 11, 7, 0, 10), (2, 12, 7, 1, 10), (3, 13, 7, 2, 30), (4, 14, 7, 3, 9)]  # the third is too large for the others
+    frame = spark.createDataFrame(large, "node long, doc_id long, label long, block int, n long")
+    shared = spark.createDataFrame([(row[0], key, 4) for row in large for key in (5, 6, 8)], "node long, key long, n long")
+    links = kept(spark.createDataFrame([(4, 2)], "a long, b long"), "links")  # the last is linked to the second already
+    rows = spark.createDataFrame([(row[1], "a text") for row in large], "doc_id long, text string")
+    signature_trees.across_blocks(rows, frame, shared, links, 4, 85)
+    met = defaultdict(list)
+    for row in sent:
+        met[row["task"]].append(row["node"])
+    assert sorted(map(sorted, met.values())) == [[1, 2], [1, 4]]
+
+
 def test_trees_prune_and_agree():
     rng = np.random.default_rng(3)
     sets = []

@@ -2,8 +2,9 @@
 
 A text is split by the tokenizer's pattern. Each distinct pre-token of a slice of rows is looked up in a minimal
 perfect hash of the vocabulary (all at once, in arrays); what is not in the vocabulary is merged pair by pair, lowest
-rank first and leftmost among equals, with a heap over a doubly linked list of its bytes. A bounded memo keeps the ids
-of short stretches of text (a word with its white space) between slices.
+rank first and leftmost among equals, with a heap over a doubly linked list of its bytes, or in a plain list of its
+pairs if it has at most ``SHORT`` bytes. A bounded memo keeps the ids of short stretches of text (a word with its white
+space) between slices.
 
 Defined results: a null text is an empty one and has no ids; rows that repeat are each encoded; a text or pre-token of
 any length is encoded whole (the heap needs n log n steps); an empty table gives an empty one. Only the named columns
@@ -18,6 +19,7 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from caseweave.llm.files import open_file
 from caseweave.llm.memo import Memo
 
 MEMO_TOKENS, MEMO_LENGTH, SLICE_CHARS = 350_000, 48, 2_000_000
+SHORT, NO_RANK = 32, sys.maxsize
 # White space as the Unicode property; the regex library's own \s also holds the four separators U+001C to U+001F.
 SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NO_SPACE = SPACE.replace("[", "[^", 1)
@@ -82,6 +85,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: the pair of lowest rank is joined first, the leftmost among equals."""
     n, get = len(piece), ranks.get
+    if n <= SHORT:
+        return _merge_short(piece, ranks)
     shift = n.bit_length()
     low = (1 << shift) - 1
     end = list(range(1, n + 1))  # where the part that begins at i ends, 0 once it is joined to its left neighbour
@@ -110,6 +115,21 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+def _merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same for few bytes: the least of a list of pairs is found faster than a heap is kept."""
+    get, n = ranks.get, len(piece)
+    pairs = [get(piece[i : i + 2], NO_RANK) for i in range(n - 1)]
+    at = list(range(n + 1))  # where the parts begin, and the end
+    while pairs and (least := min(pairs)) != NO_RANK:
+        i = pairs.index(least)
+        del at[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = get(piece[at[i] : at[i + 2]], NO_RANK)
+        if i:
+            pairs[i - 1] = get(piece[at[i - 1] : at[i + 1]], NO_RANK)
+    return [ranks[piece[start:stop]] for start, stop in pairwise(at)]
+
+
 def packed_ids(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     out = array("I", ids)
@@ -128,7 +148,7 @@ class Bpe:
         tokens, self.names = list(self.ranks), {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern.replace(r"[^\s", "[^" + SPACE[1:-1]).replace(r"\S", NO_SPACE).replace(r"\s", SPACE))
         # Two white-space characters in a row of which the last is a space, or a space at the end: cut with the pattern.
-        self.odd_space = regex.compile(SPACE + r" | \Z")
+        self.odd_space = [c + " " for c in map(chr, range(0x3001)) if re.match(SPACE, c)]
         self.cut = regex.compile(f"{SPACE}*{NO_SPACE}+|{SPACE}+")
         # A space and lower-case ASCII letters are one pre-token of most patterns; this one is asked.
         probes = [" " + letters for letters in ("abcdefghijklmnopqrstuvwxyz", "s", "ll", "zz")]
@@ -171,7 +191,7 @@ class Bpe:
 
     def _segments(self, text: str) -> list[str]:
         """``text`` cut before runs of white space: no pre-token of the pattern crosses such a place."""
-        if self.odd_space.search(text):
+        if text.endswith(" ") or any(pair in text for pair in self.odd_space):
             return self.cut.findall(text)
         first, *rest = text.split(" ")
         return [first, *[" " + word for word in rest]]

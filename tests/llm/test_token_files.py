@@ -115,3 +115,14 @@ def test_memo_keeps_frequent_keys():
     for rows in ([["a", "b", "c"]], [["a", "long one"]], [["d", "a"]], [["a", "long one"], []]):
         assert memo.joined(rows) == ["".join(r).encode() for r in rows]
     assert asked.count("a") == 1 and asked.count("long one") == 2
+
+
+def test_short_pieces_are_merged_without_a_heap(monkeypatch):
+    ranks, rng = byte_bpe.read_ranks(RANKS), np.random.default_rng(3)
+    pieces = [bytes(rng.choice(list(b" aeinrst\xc3\xa9"), rng.integers(1, byte_bpe.SHORT + 1)).tolist()) for _ in range(300)]
+    short = [byte_bpe.merge(piece, ranks) for piece in pieces]
+    monkeypatch.setattr(byte_bpe, "SHORT", 0)
+    assert short == [byte_bpe.merge(piece, ranks) for piece in pieces]
+    monkeypatch.undo()
+    monkeypatch.setattr(byte_bpe.heapq, "heapify", lambda heap: pytest.fail("a heap for a short piece"))
+    assert byte_bpe.merge(b"qwxzk", ranks)

@@ -19,6 +19,7 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
+from functools import cache
 from itertools import pairwise
 
 import numpy as np
@@ -82,6 +83,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, source.read().splitlines()) if a}
 
 
+def token_table(ranks: dict[bytes, int]) -> pa.Array:
+    """Token bytes by rank, null where no token has the rank."""
+    names = {rank: token for token, rank in ranks.items()}
+    return pa.array([names.get(i) for i in range(max(names) + 1)], pa.binary())
+
+
+@cache
+def _table_of(path: str) -> pa.Array:
+    """The token table of a rank file, kept for the worker's next tasks: decoding needs nothing else of an encoder."""
+    return token_table(read_ranks(path))
+
+
+def bytes_of(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """The bytes of each list of ids; of a null none."""
+    taken = tokens.take(ids.flatten())
+    offsets = np.concatenate([[0], np.cumsum(np.asarray(ids.value_lengths().fill_null(0)))]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), taken), b"")
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: the pair of lowest rank is joined first, the leftmost among equals."""
     n, get = len(piece), ranks.get
@@ -145,7 +165,7 @@ class Bpe:
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
-        tokens, self.names = list(self.ranks), {rank: token for token, rank in self.ranks.items()}
+        tokens = list(self.ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", "[^" + SPACE[1:-1]).replace(r"\S", NO_SPACE).replace(r"\s", SPACE))
         # Two white-space characters in a row of which the last is a space, or a space at the end: cut with the pattern.
         self.odd_space = [c + " " for c in map(chr, range(0x3001)) if re.match(SPACE, c)]
@@ -160,7 +180,11 @@ class Bpe:
         self.keys, self.packed = [b""] * len(tokens), [b""] * len(tokens)
         for number, token in zip(numbers.tolist(), tokens, strict=True):
             self.keys[number], self.packed[number] = token, self.ranks[token].to_bytes(4, "little")
-        self.tokens = pa.array([self.names.get(i) for i in range(max(self.names) + 1)], pa.binary())
+        self.tokens = token_table(self.ranks)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with empty memos."""
         self.memo = Memo(self._resolve, MEMO_TOKENS, MEMO_LENGTH)
         self.pieces = Memo(self._ids, MEMO_TOKENS, MEMO_LENGTH)
 
@@ -202,9 +226,7 @@ class Bpe:
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """The bytes of each list of ids; of a null none."""
-        taken = self.tokens.take(ids.flatten())
-        offsets = np.concatenate([[0], np.cumsum(np.asarray(ids.value_lengths().fill_null(0)))]).astype(np.int32)
-        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), taken), b"")
+        return bytes_of(ids, self.tokens)
 
 
 def slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -219,21 +241,31 @@ def slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def with_ids(docs: DataFrame, ranks: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """All columns of ``docs`` and the ids of its texts as an array."""
+def with_ids(
+    docs: DataFrame, ranks: str, pattern: str, text_col: str = "text", ids_col: str = "ids", lasting: bool = True
+) -> DataFrame:
+    """All columns of ``docs`` and the ids of its texts as an array.
+
+    A worker keeps its memos for its next tasks; without ``lasting`` they go with the task, so that a worker that waits
+    for another stage's tasks, or for those that decode, holds none.
+    """
     at = docs.columns.index(text_col)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.of(ranks, pattern)
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for start, stop in slices([len(text or "") for text in texts]):
-                packed = bpe.encode(texts[start:stop])
-                offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-                ids = pa.ListArray.from_arrays(pa.array(offsets), values)
-                kept = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([*kept.columns, ids], [*batch.schema.names, ids_col])
+        try:
+            for batch in batches:
+                texts = batch.column(at)
+                for start, stop in slices(pc.utf8_length(texts).fill_null(0).to_pylist()):
+                    packed = bpe.encode(texts.slice(start, stop - start).to_pylist())
+                    offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
+                    values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
+                    ids = pa.ListArray.from_arrays(pa.array(offsets), values)
+                    kept = batch.slice(start, stop - start)
+                    yield pa.RecordBatch.from_arrays([*kept.columns, ids], [*batch.schema.names, ids_col])
+        finally:
+            if not lasting:
+                bpe.forget()
 
     schema = T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(encode, schema)
@@ -244,11 +276,11 @@ def with_bytes(encoded: DataFrame, ranks: str, pattern: str, ids_col: str = "ids
     at = encoded.columns.index(ids_col)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe.of(ranks, pattern)
+        tokens = _table_of(ranks)
         for batch in batches:
             for start, stop in slices(batch.column(at).value_lengths().fill_null(0).to_pylist()):
                 kept = batch.slice(start, stop - start)
-                out = bpe.decode(kept.column(at))
+                out = bytes_of(kept.column(at), tokens)
                 yield pa.RecordBatch.from_arrays([*kept.columns, out], [*batch.schema.names, out_col])
 
     schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())])

@@ -6,6 +6,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql.types import _parse_datatype_string
 from tokenizers import Tokenizer
 
 from caseweave.llm import byte_bpe, frames
@@ -117,6 +118,39 @@ def test_memo_keeps_frequent_keys():
     assert asked.count("a") == 1 and asked.count("long one") == 2
 
 
+class InProcess:
+    """Stands in for a DataFrame: what it is to run in tasks is returned."""
+
+    def __init__(self, ddl):
+        self.schema = _parse_datatype_string(ddl)
+        self.columns = self.schema.names
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_worker_without_lasting_memos_holds_none_between_tasks(monkeypatch):
+    monkeypatch.setattr(byte_bpe.Bpe, "_loaded", {})
+    texts = ["zzqx vvkw naïve", None, "", "a plain text", "vvkw "]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(5)), "text": pa.array(texts)})
+    docs, found = InProcess("doc_id long, text string"), {}
+    for lasting in (True, False):
+        encode = byte_bpe.with_ids(docs, RANKS, public_tokenizers.PATTERN, lasting=lasting)
+        found[lasting] = [out.column(2).to_pylist() for out in encode(iter([batch, batch]))]
+        bpe = byte_bpe.Bpe.of(RANKS, public_tokenizers.PATTERN)
+        assert bool(bpe.memo.known) == bool(bpe.pieces.known) == lasting
+    assert found[True] == found[False]
+
+
+def test_decoding_loads_no_encoder(monkeypatch):
+    monkeypatch.setattr(byte_bpe.Bpe, "_loaded", {})
+    ids = byte_bpe.Bpe(RANKS, public_tokenizers.PATTERN).encode(["vvkw naïve"])[0]
+    batch = pa.RecordBatch.from_pydict({"ids": pa.array([np.frombuffer(ids, "<i4").tolist(), None], pa.list_(pa.int32()))})
+    decode = byte_bpe.with_bytes(InProcess("ids array<int>"), RANKS, public_tokenizers.PATTERN)
+    assert [out.column(1).to_pylist() for out in decode(iter([batch]))] == [["vvkw naïve".encode(), b""]]
+    assert not byte_bpe.Bpe._loaded
+
+
 def test_short_pieces_are_merged_without_a_heap(monkeypatch):
     ranks, rng = byte_bpe.read_ranks(RANKS), np.random.default_rng(3)
     pieces = [bytes(rng.choice(list(b" aeinrst\xc3\xa9"), rng.integers(1, byte_bpe.SHORT + 1)).tolist()) for _ in range(300)]

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from caseweave import session
 from caseweave.operators import blocks, classify, clusters, labels, metrics, tfidf
 
 
@@ -30,6 +31,17 @@ def test_model_learns_saves_and_loads(spark, tmp_path):
     assert classify.predict(seen.select("id", "text"), again).orderBy("id").collect() == before
 
 
+def test_training_texts_are_dealt_to_tasks_by_their_length(spark, monkeypatch):
+    data, seen, real = _labelled(spark), [], tfidf.fit
+    monkeypatch.setattr(session, "TASK_CHARS", 50)
+    monkeypatch.setattr(tfidf, "fit", lambda docs, params: seen.append(docs) or real(docs, params))
+    classify.fit(data, max_iter=2)
+    data = data.where("id < 60")  # the others are left out
+    chars = data.agg(F.sum(F.length("text"))).first()[0]
+    assert seen[0].rdd.getNumPartitions() == -(-chars // 50) > spark.sparkContext.defaultParallelism
+    assert seen[0].count() == data.count()
+
+
 def test_hybrid_uses_the_rule_first(spark):
     model = classify.fit(_labelled(spark), max_iter=20)
     df = spark.createDataFrame([(1, "refund please"), (2, "song music track"), (3, None)], "id long, text string")

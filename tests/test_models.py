@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseweave import session
-from caseweave.operators import blocks, classify, clusters, labels, metrics, tfidf
+from caseweave.operators import blocks, classify, clusters, labels, metrics, regression, tfidf
 
 
 def _labelled(spark):
@@ -42,6 +42,51 @@ def test_training_texts_are_dealt_to_tasks_by_their_length(spark, monkeypatch):
     assert seen[0].count() == data.count()
 
 
+def test_coefficients_of_many_terms_stay_in_blocks(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(0)
+    vectors = [sorted(rng.choice(30, 6, replace=False).tolist()) for _ in range(90)]
+    rows = [(float(n % 3), 1.0 + n % 2, v, [0.1 + (n + i) % 5 for i in range(6)]) for n, v in enumerate(vectors)]
+    rows.append((0.0, 1.0, [], []))  # a row without terms still counts for the intercepts
+    data = spark.createDataFrame(rows, "label double, weight double, indices array<int>, weights array<double>")
+    monkeypatch.setattr(regression, "SLICE", 40)
+    for collected in (0, 10**6):  # sums added up by slices, and on the driver
+        monkeypatch.setattr(regression, "COLLECTED", collected)
+        found = regression.fit(data.repartition(3), 3, 0.05, 500, 1e-9)
+        dense, share = np.zeros((91, 30)), np.array([r[1] for r in rows]) / sum(r[1] for r in rows)
+        for line, (_, _, at, value) in zip(dense, rows):
+            line[at] = value
+        own = np.zeros((30, 3))
+        for r in found.coefficients.collect():
+            own[r["index"]] = r["coefficients"]
+        raw = dense @ own + np.array(found.intercepts)
+        chance = np.exp(raw - raw.max(axis=1, keepdims=True))
+        chance /= chance.sum(axis=1, keepdims=True)
+        missed = share[:, None] * (chance - np.eye(3)[[int(r[0]) for r in rows]])
+        assert found.steps < 100 and np.abs(dense.T @ missed + 0.05 * own).max() < 1e-8 and np.abs(missed.sum(axis=0)).max() < 1e-8
+    keyed = spark.createDataFrame([(n, *r[2:]) for n, r in enumerate(rows)], "id long, indices array<int>, weights array<double>")
+    scored = {r["id"]: r for r in found.transform(keyed, "id").collect()}
+    assert [scored[n]["prediction"] for n in range(91)] == chance.argmax(axis=1).tolist()
+    assert [scored[n]["probability"] for n in range(91)] == pytest.approx(chance.max(axis=1).tolist())
+
+
+def test_a_large_vocabulary_gives_the_same_model(spark, monkeypatch, tmp_path):
+    data = _labelled(spark)
+    texts = data.select("id", F.coalesce("text", F.lit("")).alias("text"))
+    before = {r["id"]: r for r in classify.predict(texts, classify.fit(data, max_iter=200)).collect()}
+    monkeypatch.setattr(tfidf, "SMALL_VOCABULARY", 5)
+    model = classify.fit(data, max_iter=200)
+    assert isinstance(model.regression, regression.TermRegression) and model.regression.gradient <= regression.TOLERANCE
+    model.save(str(tmp_path / "model"))
+    for found in (model, classify.IntentModel.load(spark, str(tmp_path / "model"))):
+        rows = classify.predict(texts, found).collect()
+        assert len(rows) == len(before) == 63
+        for r in rows:
+            assert r["id"] >= 60 or r["intent"] == before[r["id"]]["intent"]  # texts without terms have no best class
+            assert r["confidence"] == pytest.approx(before[r["id"]]["confidence"], abs=5e-3)
+    folds = {r["id"]: r for r in classify.cross_validate(data, folds=2).collect()}
+    assert sorted(folds) == [*range(60), 101] and all(folds[n]["predicted_intent"] == folds[n]["intent"] for n in range(60))
+
+
 def test_hybrid_uses_the_rule_first(spark):
     model = classify.fit(_labelled(spark), max_iter=20)
     df = spark.createDataFrame([(1, "refund please"), (2, "song music track"), (3, None)], "id long, text string")

@@ -4,6 +4,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +134,48 @@ def test_top_k_copies_no_vector_per_block_of_the_other_side(spark, monkeypatch):
     assert _collect(ranked, "similarity") == {i: [(j, pytest.approx(-x)) for x, j in own] for i, own in best.items()}
 
 
+def _packed_pair(query_table, case_table, block):
+    own = case_table.filter(pc.equal(case_table["_block"], block))
+    sides = blocks.pack_queries(query_table), blocks.pack_cases(own)
+    return pa.table([c for side in sides for c in side.columns], [n for side in sides for n in side.column_names])
+
+
+def test_a_task_keeps_k_rows_per_query_over_all_its_case_blocks():
+    rng = random.Random(5)
+    vectors = [sorted(rng.sample(range(10), 4)) for _ in range(40)]
+    table = pa.table({
+        "_block": pa.array([n * 7 % 5 for n in range(40)], pa.int32()), "case_id": pa.array(range(40), pa.int64()),
+        "indices": pa.array(vectors, pa.list_(pa.int32())), "weights": pa.array([[0.5] * 4] * 40),
+        "compatibility": pa.array([[]] * 40, pa.list_(pa.float64())),
+    })
+    asked = pa.table({
+        "_block": pa.array([0] * 9, pa.int32()), "query_id": pa.array([*range(8), 7], pa.int64()),  # an id that comes twice
+        "intent_index": pa.array([-1] * 9, pa.int32()), "indices": table["indices"].slice(0, 9), "weights": table["weights"].slice(0, 9),
+    })
+    pairs = [batch for block in range(5) for batch in _packed_pair(asked, table, block).to_batches()]
+    # A block holds 8 cases, less than k; equal scores cross the blocks.
+    found = [r for b in blocks.top_k_of_blocks(9, 1.0, 0.0)(iter(pairs)) for r in b.to_pylist()]
+    assert len(found) == 9 * 9
+    expected = []
+    for query, own in zip([*range(8), 7], vectors):
+        scored = sorted((-len({*own} & {*v}) / 4, n) for n, v in enumerate(vectors))[:9]
+        expected += [(query, n, -score) for score, n in scored]
+    assert [(r["query_id"], r["case_id"], pytest.approx(r["similarity"])) for r in found] == expected
+
+
+def test_top_k_is_the_same_in_few_tasks(spark, monkeypatch):
+    for name in ("CASE_ENTRIES", "QUERY_ENTRIES", "SMALL_PRODUCT"):
+        monkeypatch.setattr(similarity, name, 20)
+    rng = random.Random(6)
+    rows = [(i, sorted(rng.sample(range(12), 4)), [0.5] * 4) for i in range(60)]
+    cases = spark.createDataFrame(rows, "case_id long, indices array<int>, weights array<double>")
+    queries, tops = cases.withColumnRenamed("case_id", "query_id"), []
+    for tasks in (8, 1):
+        monkeypatch.setattr(similarity, "TASKS", tasks)
+        tops.append(sorted(similarity.top_k(queries, cases, 3).select("query_id", "rank", "case_id").collect()))
+    assert tops[0] == tops[1] and len(tops[0]) == 180
+
+
 @pytest.mark.parametrize("entries, rows, cells, expansion", [
     (10**6, 10**4, 10**6, 10**6), (50, 7, 10**6, 10**6), (200, 20, 64, 50),
 ])
